@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallywick.llm import quality_rules
+from tallywick.llm import byte_bpe, quality_rules
 from tallywick.llm.common import ready, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,4 +26,5 @@ def register(name: str, run: Callable[..., DataFrame], *tables: str, sql: str |
         ORACLE_SQL[name] = sql
 
 
+register("op1_byte_bpe", byte_bpe.op1_byte_bpe, "documents")
 register("op2_quality_rules", quality_rules.op2_quality_rules, "documents", sql=quality_rules.SQL)
