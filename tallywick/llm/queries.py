@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallywick.llm import byte_bpe, quality_rules, simhash
+from tallywick.llm import byte_bpe, language_id, quality_model, quality_rules, simhash
 from tallywick.llm.common import ready, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,3 +29,5 @@ def register(name: str, run: Callable[..., DataFrame], *tables: str, sql: str |
 register("op1_byte_bpe", byte_bpe.op1_byte_bpe, "documents")
 register("op2_quality_rules", quality_rules.op2_quality_rules, "documents", sql=quality_rules.SQL)
 register("op3_simhash", simhash.op3_simhash, "documents")
+register("op4_language_id", language_id.op4_language_id, "documents")
+register("op5_quality_model", quality_model.op5_quality_model, "documents", "labels")
