@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallywick.llm import byte_bpe, decontamination, language_id, quality_model, quality_rules, simhash
+from tallywick.llm import byte_bpe, decontamination, language_id, quality_model, quality_rules, repeats, secrets_scan, simhash, url_filter
 from tallywick.llm.common import ready, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,3 +32,6 @@ register("op3_simhash", simhash.op3_simhash, "documents")
 register("op4_language_id", language_id.op4_language_id, "documents")
 register("op5_quality_model", quality_model.op5_quality_model, "documents", "labels")
 register("op6_decontamination", decontamination.op6_decontamination, "documents", "benchmark", sql=decontamination.SQL)
+register("op7_secrets_scan", secrets_scan.op7_secrets_scan, "documents")
+register("op8_url_filter", url_filter.op8_url_filter, "pages", sql=url_filter.SQL)
+register("op10_repeats", repeats.op10_repeats, "documents")
