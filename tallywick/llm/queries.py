@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallywick.llm import byte_bpe, decontamination, language_id, quality_model, quality_rules, repeats, secrets_scan, simhash, url_filter
+import corpus_pipeline
+from tallywick.llm import byte_bpe, decontamination, language_id, pii, quality_model, quality_rules, repeats, secrets_scan, simhash, url_filter
 from tallywick.llm.common import ready, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,4 +35,8 @@ register("op5_quality_model", quality_model.op5_quality_model, "documents", "lab
 register("op6_decontamination", decontamination.op6_decontamination, "documents", "benchmark", sql=decontamination.SQL)
 register("op7_secrets_scan", secrets_scan.op7_secrets_scan, "documents")
 register("op8_url_filter", url_filter.op8_url_filter, "pages", sql=url_filter.SQL)
+register("op9_pii", pii.op9_pii, "documents")
 register("op10_repeats", repeats.op10_repeats, "documents")
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL is not None:
+    ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
