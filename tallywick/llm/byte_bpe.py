@@ -25,13 +25,19 @@ from __future__ import annotations
 import base64
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 LEAF = 16_384  # characters that are split at once
-LEAF_BYTES = 24  # bytes that are merged at once
+LEAF_BYTES = 24  # of a match that are merged without halving
+NONE = 1 << 62  # above every rank
 CACHED = 200_000  # matches whose ids a worker keeps
+TABLE_BITS = 19
+AT_ONCE = 8192  # matches that are merged side by side
+GROUP = 2_000_000  # characters that are split before new matches are encoded
 MAX_RANK_FILE = 64 * 1024 * 1024  # the ranks go to every executor
 
 
@@ -39,26 +45,36 @@ class Bpe:
     def __init__(self, rank_file: bytes, pattern: str):
         lines = (line.split() for line in rank_file.splitlines() if line)
         self.ranks = {base64.b64decode(token): int(rank) for token, rank in lines}
-        self.token_bytes = {rank: token for token, rank in self.ranks.items()}
+        self.token_bytes = [b""] * (max(self.ranks.values(), default=-1) + 1)
+        self.pairs: dict[int, int] = {}  # rank of the token that two neighbouring tokens make
+        for token, rank in self.ranks.items():
+            self.token_bytes[rank] = token
+            for i in range(1, len(token)):
+                left, right = self.ranks.get(token[:i]), self.ranks.get(token[i:])
+                if left is not None and right is not None:
+                    self.pairs[left << 32 | right] = rank
+        self.bytes = [self.ranks.get(bytes([b]), -1) for b in range(256)]
         self.split = regex.compile(pattern).findall
-        self.known = _Known(self)
+        self.tables = _tables(np.array(list(self.pairs), np.int64), np.array(list(self.pairs.values()), np.int64))
+        self.byte_table = np.array(self.bytes, np.int64)
+        self.known: dict[str, list[int]] = {}
 
     # Tokens of one match.
 
     def merged(self, data: bytes) -> list[int]:
         """The merge loop itself: join the pair of lowest rank, leftmost first, while there is one."""
-        ranks = self.ranks
-        parts = [data[i:i + 1] for i in range(len(data))]
-        while len(parts) > 1:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                rank = ranks.get(parts[i] + parts[i + 1])
-                if rank is not None and (best is None or rank < best):
-                    best, at = rank, i
-            if best is None:
-                break
-            parts[at:at + 2] = [parts[at] + parts[at + 1]]
-        return [ranks[p] for p in parts]
+        pair = self.pairs.get
+        parts = [self.bytes[b] for b in data]
+        ranks = [pair(a << 32 | b, NONE) for a, b in zip(parts, parts[1:])]
+        while ranks and (best := min(ranks)) != NONE:
+            at = ranks.index(best)
+            parts[at:at + 2] = [best]
+            del ranks[at]
+            if at:
+                ranks[at - 1] = pair(parts[at - 1] << 32 | best, NONE)
+            if at < len(ranks):
+                ranks[at] = pair(best << 32 | parts[at + 1], NONE)
+        return parts
 
     def joined(self, left: list[int], right: list[int]) -> list[int]:
         if not left or not right:
@@ -66,8 +82,7 @@ class Bpe:
         i = j = 1
         while True:
             i, j = min(i, len(left)), min(j, len(right))
-            window = b"".join(map(self.token_bytes.__getitem__, left[-i:] + right[:j]))
-            seam = self.merged(window)
+            seam = self.merged(b"".join(map(self.token_bytes.__getitem__, left[-i:] + right[:j])))
             left_stands = i == len(left) or seam[0] == left[-i]
             right_stands = j == len(right) or seam[-1] == right[j - 1]
             if left_stands and right_stands:
@@ -83,6 +98,45 @@ class Bpe:
         half = len(data) // 2
         return self.joined(self.encoded(data[:half]), self.encoded(data[half:]))
 
+    def merged_many(self, leaves: list[bytes]) -> list[list[int]]:
+        """`merged` for many short strings at once: a row each, one merge in every open row per step."""
+        sizes = np.array([len(x) for x in leaves])
+        width = int(sizes.max())
+        rows = np.full((len(leaves), width + 1), -1, np.int64)
+        rows[np.arange(width + 1) < sizes[:, None]] = self.byte_table[np.frombuffer(b"".join(leaves), np.uint8)]
+        ranks = self.pair_ranks(rows[:, :-1], rows[:, 1:])
+        done: list = [None] * len(leaves)
+        number, columns = np.arange(len(leaves)), np.arange(width + 1)
+        while len(number):
+            at = ranks.argmin(axis=1)
+            best = ranks[np.arange(len(at)), at]
+            ended = best == NONE
+            for i, row in zip(number[ended].tolist(), rows[ended].tolist()):
+                done[i] = row[:row.index(-1)] if row[-1] == -1 else row
+            number, rows, ranks, at, best = number[~ended], rows[~ended], ranks[~ended], at[~ended], best[~ended]
+            if not len(number):
+                break
+            each = np.arange(len(number))
+            rows[each, at] = best
+            take = np.minimum(columns + (columns > at[:, None]), width)
+            rows = np.take_along_axis(rows, take, axis=1)
+            rows[:, -1] = -1
+            ranks = np.take_along_axis(ranks, np.minimum(take[:, :-1], width - 1), axis=1)
+            ranks[:, -1] = NONE
+            ranks[each, at] = self.pair_ranks(best, rows[each, at + 1])
+            left = each[at > 0]
+            ranks[left, at[left] - 1] = self.pair_ranks(rows[left, at[left] - 1], best[left])
+        return done
+
+    def pair_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The rank of the token that each two tokens make, NONE where there is none or one is missing."""
+        key = left << 32 | right
+        found = np.full(key.shape, NONE, np.int64)
+        for multiplier, keys, values in self.tables:
+            slot = (key.view(np.uint64) * multiplier) >> np.uint64(64 - TABLE_BITS)
+            found = np.where(keys[slot] == key, values[slot], found)
+        return found
+
     # Matches of one text.
 
     def matches(self, text: str, leaf: int = LEAF) -> list[str]:
@@ -118,8 +172,31 @@ class Bpe:
 
     # Whole texts.
 
+    def learn(self, matches: set[str]) -> None:
+        """Encode the matches that are not known yet."""
+        if len(self.known) > CACHED:
+            self.known.clear()
+        new = matches.difference(self.known)
+        short = []
+        for match in new:
+            data = match.encode("utf-8")
+            if len(data) <= LEAF_BYTES and data not in self.ranks:
+                short.append((match, data))
+            else:
+                self.known[match] = self.encoded(data)
+        short.sort(key=lambda x: len(x[1]))
+        for at in range(0, len(short), AT_ONCE):
+            part = short[at:at + AT_ONCE]
+            self.known.update(zip([m for m, _ in part], self.merged_many([d for _, d in part])))
+
+    def ids_of(self, texts: list[str]) -> list[np.ndarray]:
+        split = [self.matches(t) for t in texts]
+        self.learn(set().union(*split))
+        known = self.known.__getitem__
+        return [np.array(list(chain.from_iterable(map(known, s))), np.int32) for s in split]
+
     def ids(self, text: str) -> list[int]:
-        return list(chain.from_iterable(map(self.known.__getitem__, self.matches(text))))
+        return self.ids_of([text])[0].tolist()
 
     def text_bytes(self, ids: list[int]) -> bytes:
         if len(ids) <= LEAF:
@@ -128,18 +205,20 @@ class Bpe:
         return self.text_bytes(ids[:half]) + self.text_bytes(ids[half:])
 
 
-class _Known(dict):
-    """Ids by match, filled on demand and bounded."""
-
-    def __init__(self, bpe: Bpe):
-        super().__init__()
-        self.bpe = bpe
-
-    def __missing__(self, match: str) -> tuple[int, ...]:
-        ids = tuple(self.bpe.encoded(match.encode("utf-8")))
-        if len(self) < CACHED:
-            self[match] = ids
-        return ids
+def _tables(keys: np.ndarray, values: np.ndarray) -> list[tuple[np.uint64, np.ndarray, np.ndarray]]:
+    """Hash tables for arrays of keys: what clashes in one goes into the next, with another multiplier."""
+    rng, out = np.random.default_rng(1), []
+    while len(keys):
+        multiplier = np.uint64(rng.integers(1 << 63, dtype=np.uint64) * np.uint64(2) + np.uint64(1))
+        slot = (keys.view(np.uint64) * multiplier) >> np.uint64(64 - TABLE_BITS)
+        _, first = np.unique(slot, return_index=True)
+        table, ranks = np.full(1 << TABLE_BITS, -1, np.int64), np.full(1 << TABLE_BITS, NONE, np.int64)
+        table[slot[first]], ranks[slot[first]] = keys[first], values[first]
+        out.append((multiplier, table, ranks))
+        rest = np.ones(len(keys), np.bool_)
+        rest[first] = False
+        keys, values = keys[rest], values[rest]
+    return out
 
 
 _LOADED: dict[tuple, Bpe] = {}
@@ -170,13 +249,16 @@ class ByteBpe:
         @F.arrow_udf("array<int>")
         def encode(texts: pa.Array) -> pa.Array:
             bpe = loaded(ranks.value, pattern)
-            offsets, ids = [0], []
-            known = bpe.known.__getitem__
+            ids, group, size = [], [], 0
             for t in texts:
-                ids.append(pa.array(chain.from_iterable(map(known, bpe.matches(t.as_py() or ""))), pa.int32()))
-                offsets.append(offsets[-1] + len(ids[-1]))
-            flat = pa.concat_arrays(ids) if ids else pa.array([], pa.int32())
-            return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat)
+                group.append(t.as_py())
+                size += len(group[-1])
+                if size >= GROUP:
+                    ids += bpe.ids_of(group)
+                    group, size = [], 0
+            ids += bpe.ids_of(group)
+            flat = np.concatenate([np.zeros(0, np.int32), *ids])
+            return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, ids)]), pa.int32()), pa.array(flat))
 
         return encode(F.coalesce(text.cast("string"), F.lit("")))
 
@@ -186,7 +268,8 @@ class ByteBpe:
         @F.arrow_udf("binary")
         def decode(lists: pa.Array) -> pa.Array:
             bpe = loaded(ranks.value, pattern)
-            return pa.array([bpe.text_bytes(x.as_py() or []) for x in lists], pa.binary())
+            ids, ends = lists.flatten().to_numpy(zero_copy_only=False), np.cumsum([0, *pc.fill_null(pc.list_value_length(lists), 0).to_pylist()])
+            return pa.array([bpe.text_bytes(ids[a:b].tolist()) for a, b in zip(ends[:-1], ends[1:])], pa.binary())
 
         return decode(ids)
 
