@@ -1,52 +1,34 @@
 """Ordered scans per key that hold when one key owns a large share of the rows.
 
-A window over (key) puts all rows of a key in one task. Here the rows of each key are cut
-along the order into slices; a window runs inside (key, slice), one summary row per
-(key, slice) is scanned along the slices, and what is carried into a slice is joined back.
-The rows themselves are shuffled once, by (key, slice); everything after it keeps that
-partitioning. A task then holds one slice of a key, never the whole key.
-
-Slice bounds are quantiles of the first order column, read once before the plan is built,
-so they are literals: a re-run task sees the same slices. Keys must not be null. Rows that
-share key and first order column stay in one slice.
+A window over (key) puts all rows of a key in one task. Here the rows are range-partitioned by
+(keys, order): a heavy key then spans several partitions, its slices, in order. A window
+runs inside (slice, key), one summary row per (slice, key) is scanned along the slices, and what
+is carried into a slice is joined back. A task holds one slice, never a whole key; slices are
+as many as the session has shuffle partitions.
+
+There is one path for every size. Rows are ordered as orderBy orders them: nulls first, NaN
+last, any type that sorts. Null keys are a key like any other. Rows that tie on the whole order
+may be cut apart anywhere, so end `order` with a unique column where that matters.
+
+The sliced rows are written to the shared work folder once: the bounds of a range partitioning
+are sampled, and both readers must see the same slices.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-ROWS_PER_SLICE = 2_000_000
-MAX_SLICES = 4096
-SLICE = "_slice"
-
-
-def as_number(df: DataFrame, column: str) -> Column:
-    """The column as a double that never falls as the column rises; nulls come first."""
-    kind = dict(df.dtypes)[column]
-    c = F.col(column)
-    if kind.startswith("timestamp"):
-        c = F.unix_micros(c.cast("timestamp"))
-    elif kind == "date":
-        c = F.unix_date(c)
-    return F.coalesce(c.cast("double"), F.lit(float("-inf")))
+from tallywick.session import cut
 
+SLICE = "_slice"
 
-def with_slices(df: DataFrame, column: str, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
-    """Add the slice number; `df` comes back unchanged when it fits in one slice.
 
-    Reads one number per slice to the driver, at most MAX_SLICES.
-    """
-    numbered = df.select(as_number(df, column).alias("_x"))
-    slices = min(MAX_SLICES, -(-numbered.count() // rows_per_slice))
-    if slices <= 1:
-        return df
-    bounds = numbered.approxQuantile("_x", [i / slices for i in range(1, slices)], 0.25 / slices)
-    splits = [float("-inf"), *sorted({b for b in bounds if b != float("-inf")}), float("inf")]
-    cut = Bucketizer(splits=splits, inputCol="_x", outputCol="_bucket")
-    return cut.transform(df.withColumn("_x", as_number(df, column))).withColumn(SLICE, F.col("_bucket").cast("int")).drop("_x", "_bucket")
+def with_slices(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The rows with their slice number, which rises with (keys, order)."""
+    dealt = df.repartitionByRange(*[F.col(c) for c in [*keys, *order]])
+    return cut(dealt.withColumn(SLICE, F.spark_partition_id()), "slices")
 
 
 def _running(keys: Sequence[str], order: Sequence[str]):
@@ -57,61 +39,58 @@ def _earlier(keys: Sequence[str]):
     return Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
 
 
-def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str], sums: Mapping[str, Column],
-                 rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
+def _joined(rows: DataFrame, carried: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """`carried` (one row per slice and key) beside the rows; null keys meet."""
+    renamed = carried.withColumnsRenamed({c: f"_of_{c}" for c in [*keys, SLICE]})
+    on = F.col(SLICE) == F.col(f"_of_{SLICE}")
+    for key in keys:
+        on = on & F.col(key).eqNullSafe(F.col(f"_of_{key}"))
+    return rows.join(renamed, on, "left")
+
+
+def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str], sums: Mapping[str, Column]) -> DataFrame:
     """Add, for each name in `sums`, the sum of its column over the key's rows up to this one."""
-    rows = with_slices(df, order[0], rows_per_slice)
-    if SLICE not in rows.columns:
-        w = _running(keys, order)
-        return df.select("*", *[F.sum(c).over(w).alias(n) for n, c in sums.items()])
+    rows = with_slices(df, keys, order)
     group = [*keys, SLICE]
     w = _running(group, order)
     local = rows.select("*", *[F.sum(c).over(w).alias(n) for n, c in sums.items()])
     totals = rows.groupBy(*group).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
     before = totals.select(*group, *[F.sum(n).over(_earlier(keys)).alias(f"_before_{n}") for n in sums])
-    joined = local.join(before, group, "left")
-    return joined.select(*df.columns, *[(F.col(n) + F.coalesce(F.col(f"_before_{n}"), F.lit(0))).alias(n) for n in sums])
+    joined = _joined(local, before, keys)
+    zero = F.lit(0)
+    return joined.select(*df.columns, *[
+        F.when(F.col(n).isNotNull() | F.col(f"_before_{n}").isNotNull(), F.coalesce(n, zero) + F.coalesce(f"_before_{n}", zero)).alias(n) for n in sums])
 
 
-def numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "seq",
-             rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
+def numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "seq") -> DataFrame:
     """Add the position of each row in its key, from 1. `order` must end in a unique column."""
-    return running_sums(df, keys, order, {name: F.lit(1).cast("long")}, rows_per_slice)
+    return running_sums(df, keys, order, {name: F.lit(1).cast("long")})
 
 
-def carried_forward(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Mapping[str, Column],
-                    rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
+def carried_forward(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Mapping[str, Column]) -> DataFrame:
     """Add, for each name in `values`, its latest non-null value in the key up to this row."""
-    rows = with_slices(df, order[0], rows_per_slice)
-    if SLICE not in rows.columns:
-        w = _running(keys, order)
-        return df.select("*", *[F.last(c, ignorenulls=True).over(w).alias(n) for n, c in values.items()])
+    rows = with_slices(df, keys, order)
     group = [*keys, SLICE]
     w = _running(group, order)
     local = rows.select("*", *[F.last(c, ignorenulls=True).over(w).alias(n) for n, c in values.items()])
     place = F.struct(*order)
     tails = rows.groupBy(*group).agg(*[F.max_by(c, F.when(c.isNotNull(), place)).alias(n) for n, c in values.items()])
     before = tails.select(*group, *[F.last(n, ignorenulls=True).over(_earlier(keys)).alias(f"_before_{n}") for n in values])
-    joined = local.join(before, group, "left")
-    return joined.select(*df.columns, *[F.coalesce(F.col(n), F.col(f"_before_{n}")).alias(n) for n in values])
+    return _joined(local, before, keys).select(*df.columns, *[F.coalesce(F.col(n), F.col(f"_before_{n}")).alias(n) for n in values])
 
 
-def run_lengths(df: DataFrame, keys: Sequence[str], order: Sequence[str], flags: Mapping[str, Column],
-                rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
+def run_lengths(df: DataFrame, keys: Sequence[str], order: Sequence[str], flags: Mapping[str, Column]) -> DataFrame:
     """Add, for each name in `flags`, how many rows in a row up to this one have the flag true.
 
     Zero where the flag is false. A null flag counts as false.
     """
-    rows = with_slices(df, order[0], rows_per_slice)
-    sliced = SLICE in rows.columns
-    group = [*keys, SLICE] if sliced else list(keys)
+    rows = with_slices(df, keys, order)
+    group = [*keys, SLICE]
     w = _running(group, order)
     flags = {n: F.coalesce(c, F.lit(False)) for n, c in flags.items()}
     # The run is the row number less the number of the last row that broke it.
     numbers = rows.select("*", F.row_number().over(w).cast("long").alias("_n"))
     broken = numbers.select("*", *[F.max(F.when(~c, F.col("_n"))).over(w).alias(f"_broken_{n}") for n, c in flags.items()])
-    if not sliced:
-        return broken.select(*df.columns, *[(F.col("_n") - F.coalesce(F.col(f"_broken_{n}"), F.lit(0))).alias(n) for n in flags])
     tails = broken.groupBy(*group).agg(
         *[F.max(f"_broken_{n}").alias(f"_last_{n}") for n in flags], F.max("_n").alias("_rows")
     )
@@ -127,8 +106,7 @@ def run_lengths(df: DataFrame, keys: Sequence[str], order: Sequence[str], flags:
         *[F.sum(f"_tail_{n}").over(_running([*keys, f"_breaks_{n}"], [SLICE])).alias(f"_out_{n}") for n in flags],
     )
     carried = carried.select(*group, *[F.lag(f"_out_{n}", 1, 0).over(along).alias(f"_in_{n}") for n in flags])
-    joined = broken.join(carried, group, "left")
-    return joined.select(
+    return _joined(broken, carried, keys).select(
         *df.columns,
         *[
             F.when(F.col(f"_broken_{n}").isNull(), F.col("_n") + F.coalesce(F.col(f"_in_{n}"), F.lit(0)))
@@ -138,13 +116,12 @@ def run_lengths(df: DataFrame, keys: Sequence[str], order: Sequence[str], flags:
     )
 
 
-def paged(df: DataFrame, keys: Sequence[str], order: Sequence[str], item: Column, page_size: int,
-          rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
+def paged(df: DataFrame, keys: Sequence[str], order: Sequence[str], item: Column, page_size: int) -> DataFrame:
     """The key's items as ordered lists of at most `page_size`: columns keys, page (from 0), items.
 
     The pages of a key, one after the other, are its whole list; no list grows with the key.
     """
-    seq = numbered(df.select(*keys, *[o for o in order if o not in keys], item.alias("_item")), keys, order, "_seq", rows_per_slice)
+    seq = numbered(df.select(*keys, *[o for o in order if o not in keys], item.alias("_item")), keys, order, "_seq")
     page = F.floor((F.col("_seq") - 1) / page_size).cast("long")
     lists = seq.groupBy(*keys, page.alias("page")).agg(F.array_sort(F.collect_list(F.struct("_seq", "_item"))).alias("_list"))
     return lists.select(*keys, "page", F.transform("_list", lambda x: x["_item"]).alias("items"))

@@ -6,15 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from tallywick.operators.joins import broadcast_if_small
-
 
 def ssb_q1(lineorder: DataFrame, dwdate: DataFrame, year: int = 1997, discount: tuple[int, int] = (1, 3), below_quantity: int = 24) -> DataFrame:
     """Revenue gained by dropping discounts in one year: sum(price * discount)."""
     days = dwdate.where(F.col("d_year") == year).select("d_datekey")
     lines = lineorder.where(F.col("lo_discount").between(*discount) & (F.col("lo_quantity") < below_quantity))
     product = F.col("lo_extendedprice").cast("long") * F.col("lo_discount")
-    return lines.join(broadcast_if_small(days), F.col("lo_orderdate") == F.col("d_datekey")).agg(F.sum(product).alias("revenue"))
+    return lines.join((days), F.col("lo_orderdate") == F.col("d_datekey")).agg(F.sum(product).alias("revenue"))
 
 
 def ssb_q2(lineorder: DataFrame, dwdate: DataFrame, part: DataFrame, supplier: DataFrame,
@@ -24,9 +22,9 @@ def ssb_q2(lineorder: DataFrame, dwdate: DataFrame, part: DataFrame, supplier: D
     brands = part.where(F.col("p_category") == category).select("p_partkey", "p_brand1")
     sellers = supplier.where(F.col("s_region") == region).select("s_suppkey")
     joined = (
-        lineorder.join(broadcast_if_small(brands), F.col("lo_partkey") == F.col("p_partkey"))
-        .join(broadcast_if_small(sellers), F.col("lo_suppkey") == F.col("s_suppkey"))
-        .join(broadcast_if_small(days), F.col("lo_orderdate") == F.col("d_datekey"))
+        lineorder.join((brands), F.col("lo_partkey") == F.col("p_partkey"))
+        .join((sellers), F.col("lo_suppkey") == F.col("s_suppkey"))
+        .join((days), F.col("lo_orderdate") == F.col("d_datekey"))
     )
     return (
         joined.groupBy("d_year", "p_brand1")
@@ -40,10 +38,10 @@ def ssb_q3(lineorder: DataFrame, customer: DataFrame, supplier: DataFrame, dwdat
            cities: Sequence[str] = ("UNITED KI1", "UNITED KI5"), yearmonth: str | None = "Dec1997", limit: int = 5) -> DataFrame:
     """Revenue by customer city, supplier city and year, for trade between the given cities."""
     joined = (
-        lineorder.join(broadcast_if_small(_days(dwdate, yearmonth)), F.col("lo_orderdate") == F.col("d_datekey"))
-        .join(broadcast_if_small(supplier.where(F.col("s_city").isin(*cities)).select("s_suppkey", "s_city")),
+        lineorder.join((_days(dwdate, yearmonth)), F.col("lo_orderdate") == F.col("d_datekey"))
+        .join((supplier.where(F.col("s_city").isin(*cities)).select("s_suppkey", "s_city")),
               F.col("lo_suppkey") == F.col("s_suppkey"))
-        .join(broadcast_if_small(customer.where(F.col("c_city").isin(*cities)).select("c_custkey", "c_city")),
+        .join((customer.where(F.col("c_city").isin(*cities)).select("c_custkey", "c_city")),
               F.col("lo_custkey") == F.col("c_custkey"))
     )
     return _city_revenue(joined, limit)
@@ -100,10 +98,14 @@ def ssb_q3_plain(lineorder: DataFrame, customer: DataFrame, supplier: DataFrame,
     return _city_revenue(kept, limit)
 
 
-def date_attributes(dates: DataFrame, date: str = "d_date") -> DataFrame:
+HOLIDAYS = ("01-01", "07-04", "12-25")
+
+
+def date_attributes(dates: DataFrame, date: str = "d_date", holidays: Sequence[str] = HOLIDAYS) -> DataFrame:
     """Calendar columns of a date dimension, one row per distinct date.
 
-    Week days count from Sunday = 1; the week starts new on each first of January + 7n.
+    Week days count from Sunday = 1; the week starts new on each first of January + 7n;
+    holidays are given as month and day.
     """
     d = F.col(date)
     return dates.select(d).distinct().select(
@@ -123,5 +125,6 @@ def date_attributes(dates: DataFrame, date: str = "d_date") -> DataFrame:
         .when(F.month(d) >= 3, "Spring").otherwise("Winter").alias("d_sellingseason"),
         F.when(F.dayofweek(d) == 7, "1").otherwise("0").alias("d_lastdayinweekfl"),
         F.when(d == F.last_day(d), "1").otherwise("0").alias("d_lastdayinmonthfl"),
+        F.when(F.date_format(d, "MM-dd").isin(*holidays), "1").otherwise("0").alias("d_holidayfl"),
         F.when(F.dayofweek(d).isin(1, 7), "0").otherwise("1").alias("d_weekdayfl"),
     )

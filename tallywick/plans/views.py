@@ -43,11 +43,11 @@ VIEWS: dict[str, str] = {
           cast(ts as date) dt, hour(ts) hr, cast(ceil(value) as bigint) views
         from {events}""",
     "tweets": """
-        select doc_id tweet_id, doc_id % 50 user_id, timestamp '2014-04-15 00:00:00' + doc_id*interval '17' minute created_at, text,
+        select doc_id tweet_id, cast((doc_id - doc_id % 20)/20 as bigint) user_id, timestamp '2014-04-15 00:00:00' + doc_id*interval '17' minute created_at, text,
           doc_id*7 % 1000 followers_count, source tag1, concat('lang_', lang) tag2
         from {documents}
         union all
-        select doc_id, doc_id % 50, timestamp '2014-04-15 00:00:00' + doc_id*interval '17' minute, text, doc_id*7 % 1000, source, concat('lang_', lang)
+        select doc_id, cast((doc_id - doc_id % 20)/20 as bigint), timestamp '2014-04-15 00:00:00' + doc_id*interval '17' minute, text, doc_id*7 % 1000, source, concat('lang_', lang)
         from {documents} where doc_id % 10 = 0""",
     "songs": """
         select p_partkey track_id, p_name title, p_brand artist_id, concat(p_brand, ' ', p_type) artist_name, p_type release,
@@ -57,7 +57,9 @@ VIEWS: dict[str, str] = {
         select l_partkey track_id, max(cast(l_shipdate as date)) sales_date, cast(sum(l_quantity) as bigint) sales_count
         from {lineitem} group by l_partkey""",
     "edges": """
-        select distinct l_partkey src, l_suppkey dst from {lineitem} where l_partkey <> l_suppkey and l_partkey % 7 <> 0""",
+        select distinct l_partkey*2 src, l_suppkey*2 + 1 dst from {lineitem}
+        union
+        select distinct l_suppkey*2 + 1, l_partkey*2 from {lineitem} where l_suppkey % 2 = 0 and l_linenumber = 1""",
     "userinfo": """
         select c_custkey id, concat('Name', cast(c_custkey % 40 as string)) name, concat(c_mktsegment, '/', cast(c_custkey as string)) profile,
           concat('pw', cast(c_custkey as string)) password
@@ -67,29 +69,34 @@ VIEWS: dict[str, str] = {
     "posts": """
         select event_id post_id, user_id, ts, event_type post from {events}""",
     "kvlog": """
-        select event_id, event_id*7919 % 100003 arrival, concat(event_type, cast(user_id % 10 as string)) k,
+        select event_id, event_id*7919 % 100003 arrival, concat(event_type, cast(user_id as string)) k,
           case when event_id % 4 = 0 then 'get' else 'put' end op, concat('v', cast(event_id as string)) v, event_id % 3 + 1 region, ts
         from {events}""",
     "probes": """
         select user_id instance, ts, event_id, event_type <> 'error' ok, value util from {events}""",
     "cab_events": """
-        select event_id seq, ts, user_id % 5 block_id, user_id driver_id, 1000000 + event_id rider_id,
+        select event_id seq, ts, cast((user_id - user_id % 30)/30 as bigint) block_id, user_id driver_id, 1000000 + event_id rider_id,
           case event_type when 'view' then 'DRIVER_LOCATION' when 'signup' then 'ENTERING_BLOCK' when 'click' then 'RIDE_REQUEST'
             when 'error' then 'LEAVING_BLOCK' else 'RIDE_COMPLETE' end type,
           case when event_id % 2 = 0 then 'AVAILABLE' else 'BUSY' end status, cast(floor(value) as int) longitude, cast(event_id % 100 as int) latitude
         from {events}""",
     "ngram_text": """
-        select text from {documents} where lang = 'en'""",
+        select text from {documents}""",
     "messages": """
         select doc_id msg_id, concat(cast(doc_id + 1 as string),
             '8271997208960872478735181815578166723519929177896558845922250595511921395049126920528021164569045773') key,
-          upper(regexp_replace(text, '[^A-Za-z]', 'X')) message
+          upper(regexp_replace(text, '[^A-Za-z]', 'X'{all_matches})) message
         from {documents}""",
 }
 
 
+#: Where the two engines differ: regexp_replace changes only the first match in DuckDB unless told otherwise.
+SPARK_FORMS = {"all_matches": ""}
+CHECK_FORMS = {"all_matches": ", 'g'"}
+
+
 def _reads(recipe: str) -> list[str]:
-    return sorted({name for _, name, _, _ in string.Formatter().parse(recipe) if name})
+    return sorted({name for _, name, _, _ in string.Formatter().parse(recipe) if name and name not in SPARK_FORMS})
 
 
 class Tables:
@@ -105,13 +112,15 @@ class Tables:
         if name not in VIEWS:
             return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
         recipe = VIEWS[name]
+        for form, text in SPARK_FORMS.items():
+            recipe = recipe.replace(f"{{{form}}}", text)
         return self.spark.sql(recipe, **{read: getattr(self, read) for read in _reads(recipe)})
 
 
 def check_sql(sql: str, *views: str) -> str:
     """`sql` for DuckDB, with the named views put in front as common table expressions."""
     sql = sql.strip()
-    ctes = ", ".join(f"{v} as ({VIEWS[v].strip().format(**{r: r for r in _reads(VIEWS[v])})})" for v in views)
+    ctes = ", ".join(f"{v} as ({VIEWS[v].strip().format(**CHECK_FORMS, **{r: r for r in _reads(VIEWS[v])})})" for v in views)
     if not ctes:
         return sql
     if sql.lower().startswith("with "):
