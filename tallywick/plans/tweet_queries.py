@@ -1 +1,123 @@
-"""Queries."""
+"""Tweets: scoring, masking, keys, documents, rankings, hashtags, range counts."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tallywick.operators import tweets as ops
+from tallywick.plans.registry import query
+
+LEXICON = {"and": 1, "of": -1, "is": 2, "was": -2, "that": 3, "with": -3, "this": 2, "are": -1}
+# ROT13, as the list is stored; the last entry is blank.
+BANNED_STORED = ("gur", "gung", "jvgu", "vf", "n", "")
+SINCE, START, END = "2014-04-16", "2014-04-16", "2014-04-18"
+
+
+def unrot13(word: str) -> str:
+    turned = ops.UPPER[13:] + ops.UPPER[:13] + ops.LOWER[13:] + ops.LOWER[:13]
+    return word.translate(str.maketrans(ops.UPPER + ops.LOWER, turned))
+
+
+BANNED = tuple(unrot13(w) for w in BANNED_STORED)
+_BANNED = tuple(w for w in BANNED if w)
+_SCORE = "case lower(x) " + " ".join(f"when '{w}' then {s}" for w, s in LEXICON.items()) + " else 0 end"
+_TWEETS = f"""with one as (select tweet_id, min(user_id) user_id, min(created_at) created_at, min(text) text, min(followers_count) followers_count from tweets
+  where tweet_id is not null and user_id is not null and created_at is not null and text is not null and created_at >= timestamp '{SINCE} 00:00:00' group by 1),
+scored as (select tweet_id, user_id, created_at, followers_count, cast(list_sum(list_transform(regexp_extract_all(text, '[a-zA-Z0-9]+') || ['-'], lambda x: {_SCORE})) as bigint) score,
+  array_to_string(list_transform(regexp_extract_all(text, '[a-zA-Z0-9]+|[^a-zA-Z0-9]+'), lambda w: case when lower(w) in {_BANNED} then w[1] || repeat('*', length(w) - 2) || w[-1] else w end), '') censored_text from one),
+weighted as (select tweet_id, user_id, created_at, score*(1 + followers_count) score from scored where score <> 0),
+tagged as (select *, tag1 tag from tweets where tag1 is not null union all select *, tag2 from tweets where tag2 is not null),
+counts as (select user_id, count(distinct tweet_id) n_tweets from tweets group by 1)
+"""
+
+
+def scored(t):
+    return ops.scored_tweets(t.tweets, LEXICON, BANNED, SINCE)
+
+
+@query("j10_sentiment", "J10 F03 X05 P14 P15", views=("tweets",), sql=_TWEETS + "select tweet_id, score from scored")
+def sentiment(t):
+    return scored(t).select("tweet_id", "score")
+
+
+@query("j10_sentiment_by_join", "J10 S15", views=("tweets",), sql=_TWEETS + "select tweet_id, score from scored")
+def by_join(t):
+    kept = ops.dedup_tweets(t.tweets.where(F.col("created_at") >= F.lit(SINCE).cast("timestamp")))
+    return ops.sentiment_by_join(kept, "tweet_id", "text", t.spark.createDataFrame(sorted(LEXICON.items()), "word string, score long"))
+
+
+@query("c05_scored_tweets", "C05 J11 F03 P14 P15 W04 X06 X07 X08 X09 X10 X14", views=("tweets",), sql=_TWEETS + """
+    select tweet_id, user_id, score, censored_text, user_id || strftime(created_at, '%Y%m%d%H%M%S') stored_key,
+      lpad(user_id::varchar, 16, '0') || '+' || strftime(created_at, '%Y-%m-%d %H:%M:%S') lookup_key from scored""")
+def c05(t):
+    user, time = F.col("user_id"), F.col("created_at")
+    return scored(t).select("tweet_id", "user_id", "score", "censored_text", ops.stored_key(user, time).alias("stored_key"), ops.lookup_key(user, time).alias("lookup_key"))
+
+
+@query("o08_tweets_of_user", "O08 P19 X29 X31 C05", views=("tweets",), sql=_TWEETS + """
+    select tweet_id, tweet_id || ':' || score || ':' || censored_text line from scored where user_id = 15 order by tweet_id""")
+def of_user(t):
+    line = F.concat_ws(":", F.col("tweet_id").cast("string"), F.col("score").cast("string"), F.col("censored_text"))
+    return scored(t).where("user_id = 15").orderBy("tweet_id").select("tweet_id", line.alias("line"))
+
+
+@query("x30_weighted_scores", "X30 P17 P18 C06", views=("tweets",), sql=_TWEETS + "select tweet_id, user_id, cast(score as bigint) score from weighted")
+def weighted(t):
+    return ops.weighted(scored(t)).select("tweet_id", "user_id", "score")
+
+
+@query("a10_user_documents", "A10 X27 C06", views=("tweets",), sql=_TWEETS + """
+    select user_id, cast(floor((n - 1)/8) as bigint) page, '[' || string_agg('{"tweet_id":' || tweet_id || ',"score":' || cast(score as bigint) || '}', ',' order by tweet_id) || ']' as document
+    from (select *, row_number() over (partition by user_id order by tweet_id) n from weighted) group by 1, 2""")
+def documents(t):
+    return ops.user_documents(ops.weighted(scored(t)), 8)
+
+
+@query("w05_ranked_tweets", "W05 P16 C06", views=("tweets",), sql=_TWEETS + f"""
+    select * from (select user_id, case when score < 0 then 'negative' else 'positive' end sign,
+      cast(row_number() over (partition by user_id, score < 0 order by abs(score) desc, tweet_id::varchar) as int) place, tweet_id, cast(score as bigint) score
+      from weighted where strftime(created_at, '%Y-%m-%d') between '{START}' and '{END}') where place <= 3""")
+def ranked(t):
+    return ops.rank_tweets(ops.weighted(scored(t)), START, END, 3)
+
+
+_DAILY = _TWEETS + """, daily as (select tag, strftime(created_at, '%Y-%m-%d') date, count(*) n, count(distinct user_id) n_users,
+  arg_min(tweet_id, (created_at, text, tweet_id)) tweet_id, arg_min(text, (created_at, text, tweet_id)) text from tagged group by 1, 2)
+"""
+
+
+@query("a09_hashtag_daily", "A09 F06 C07", views=("tweets",), sql=_DAILY + "select * from daily")
+def hashtags(t):
+    return ops.hashtag_daily(t.tweets)
+
+
+@query("a09_hashtag_users", "A09 X24 C07", views=("tweets",), sql=_TWEETS + """
+    select tag, date, cast(floor((n - 1)/5) as bigint) page, string_agg(user_id::varchar, ',' order by user_id) users
+    from (select *, row_number() over (partition by tag, date order by user_id) n from (select distinct tag, strftime(created_at, '%Y-%m-%d') date, user_id from tagged)) group by all""")
+def hashtag_users(t):
+    return ops.hashtag_users(t.tweets, 5)
+
+
+@query("o07_top_days", "O07 C07", views=("tweets",), sql=_DAILY + "select tag, date, n from daily where tag = 'lang_en' order by n desc, date limit 5")
+def top_days(t):
+    return ops.top_days(ops.hashtag_daily(t.tweets), "lang_en", 5)
+
+
+@query("a08_tweets_per_user", "A08 C08", views=("tweets",), sql=_TWEETS + "select * from counts")
+def per_user(t):
+    return ops.tweets_per_user(t.tweets)
+
+
+@query("w02_cumulative_counts", "W02 C08", views=("tweets",), sql=_TWEETS + "select *, cast(sum(n_tweets) over (order by user_id) as bigint) so_far from counts")
+def cumulative(t):
+    return ops.cumulative_counts(ops.tweets_per_user(t.tweets))
+
+
+@query("a20_count_range", "A20 C08", views=("tweets",), sql=_TWEETS + "select cast(sum(n_tweets) as bigint) n_tweets from counts where user_id between 3 and 17")
+def count_range(t):
+    return ops.count_range(ops.tweets_per_user(t.tweets), 3, 17)
+
+
+@query("w04_deduplicated", "W04 A22 U04", views=("tweets",), sql="select distinct tweet_id, user_id, created_at::varchar created from tweets")
+def deduplicated(t):
+    return ops.dedup_tweets(t.tweets).select("tweet_id", "user_id", F.date_format("created_at", "yyyy-MM-dd HH:mm:ss").alias("created"))
