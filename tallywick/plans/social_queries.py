@@ -1 +1,48 @@
-"""Queries."""
+"""Social graph: followers, profiles, timelines, home pages."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tallywick.operators import social as ops
+from tallywick.plans.registry import query
+
+_FOLLOWERS = """
+    with f as (select followee id, name, profile from follows join userinfo on follower = id),
+    a as (select id, 'Unauthorized' as name, '#' as profile from userinfo where id not in (select followee from follows))
+    select id, name, profile, count(*) n from (select * from f union all select * from a) group by all order by id, name, profile"""
+
+
+def _counted(df):
+    return df.groupBy("id", "name", "profile").agg(F.count(F.lit(1)).alias("n")).orderBy("id", "name", "profile")
+
+
+@query("j07_followers", "J07 O09", views=("follows", "userinfo"), sql=_FOLLOWERS)
+def followers(t):
+    return _counted(ops.followers(t.follows, t.userinfo))
+
+
+@query("j07_followers_from_cells", "J07 X25", views=("follows", "userinfo"), sql=_FOLLOWERS)
+def from_cells(t):
+    return _counted(ops.followers(ops.cell_ids(ops.follower_cells(t.follows)), t.userinfo))
+
+
+@query("j08_profiles", "J08 P19 X28", views=("userinfo",), sql="""
+    select id, 'returnRes({"name":"' || case when id % 3 = 0 then 'Unauthorized' else name end || '","profile":"' || case when id % 3 = 0 then '#' else profile end || '"})' answer from userinfo""")
+def profiles(t):
+    asked = t.userinfo.select("id", F.when(F.col("id") % 3 == 0, F.lit("wrong")).otherwise(F.col("password")).alias("password"))
+    return ops.profiles(asked, t.userinfo).select("id", ops.returned(F.to_json(F.struct("name", "profile"))).alias("answer"))
+
+
+@query("w08_timelines", "W08 J09 U02 C10", views=("follows", "posts"), sql="""
+    with s as (select follower id, post_id, ts, row_number() over (partition by follower order by ts desc, post_id desc) k from follows join posts on followee = user_id)
+    select id, cast(row_number() over (partition by id order by ts, post_id) as int) place, post_id, epoch_us(ts) at_us from s where k <= 30""")
+def timelines(t):
+    return ops.timelines(t.follows, t.posts).select("id", "place", "post_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("at_us"))
+
+
+@query("c11_home_pages", "C11 O10 X27", views=("posts",), sql="""
+    select user_id, cast(floor((n - 1)/20) as bigint) page, '[' || string_agg('{"post_id":' || post_id || ',"post":"' || post || '"}', ',' order by n) || ']' as document
+    from (select *, row_number() over (partition by user_id order by ts, post_id) n from posts) group by 1, 2""")
+def home_pages(t):
+    return ops.home_pages(t.posts, 20)
