@@ -1 +1,76 @@
-"""Queries."""
+"""Streams over the events table: driver matching, window alarms; and their batch forms."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tallywick.operators import monitor
+from tallywick.plans.registry import query
+from tallywick.plans.views import VIEWS
+from tallywick.session import new_path
+from tallywick.streaming import matching
+
+
+def _events(t):
+    """The events table as a stream of files, from its first file on; the pattern takes one file or a folder of them."""
+    path = f"{t.folder}/events.parquet*"
+    return matching.read_stream(t.spark, "parquet", _schema(t), path)
+
+
+def _schema(t) -> str:
+    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in t.events.schema)
+
+
+def _cabs(frame):
+    rows = frame.sparkSession.sql(VIEWS["cab_events"], events=frame)
+    return rows.select("seq", F.col("ts").cast("timestamp").alias("ts"), "block_id", F.col("driver_id").cast("string").alias("driver_id"),
+                       F.col("rider_id").cast("string").alias("rider_id"), "type", "status", "longitude", "latitude")
+
+
+def _matched(t):
+    t.spark.conf.set("spark.sql.streaming.stateStore.providerClass", matching.ROCKSDB)
+    cabs = _cabs(_events(t))
+    moved = F.col("type") == "DRIVER_LOCATION"
+    path = new_path(t.spark, "matches")
+    matching.write_stream(matching.match_drivers(cabs.where(moved), cabs.where(~moved)), path, new_path(t.spark, "matches-state")).awaitTermination()
+    return t.spark.read.schema(matching.MATCH).parquet(path)
+
+
+@query("t03_matches", "T01 T02 T03 T04 J12 S13 S14 U03 F04")
+def matches(t):
+    """Which driver each request got; SQL has no form for it, a plain loop checks it in the tests."""
+    return _matched(t)
+
+
+@query("t03_answered_requests", "T03 T04 S13 S14", views=("cab_events",), sql="select seq, block_id, rider_id::varchar rider_id from cab_events where type = 'RIDE_REQUEST'")
+def answered(t):
+    return _matched(t).select("seq", "block_id", "rider_id")
+
+
+@query("t01_positions", "T01", views=("cab_events",), sql="""
+    select block_id, driver_id::varchar driver_id, arg_max(longitude, seq_order) longitude, arg_max(latitude, seq_order) latitude
+    from (select *, (ts, seq) seq_order from cab_events where type = 'DRIVER_LOCATION') group by 1, 2""")
+def positions(t):
+    return matching.positions(_cabs(t.events))
+
+
+@query("j13_nearest_in_block", "J13 X19", views=("cab_events",), sql="""
+    with d as (select block_id, driver_id::varchar driver_id, arg_max(longitude, (ts, seq)) x, arg_max(latitude, (ts, seq)) y from cab_events where type = 'DRIVER_LOCATION' group by 1, 2),
+    m as (select r.seq, r.rider_id, d.driver_id, sqrt(pow(longitude - x, 2) + pow(latitude - y, 2)) away from cab_events r join d using (block_id) where type = 'RIDE_REQUEST'),
+    k as (select *, row_number() over (partition by seq, rider_id order by away, driver_id) k from m)
+    select seq, rider_id::varchar rider_id, driver_id, round(away, 6) away from k where k = 1""")
+def nearest(t):
+    cabs = _cabs(t.events)
+    found = matching.nearest_in_block(cabs.where("type = 'RIDE_REQUEST'"), matching.positions(cabs))
+    return found.withColumn("away", F.round("away", 6))
+
+
+@query("t07_stream_windows", "T07 S13", views=("probes",), sql="select instance, epoch_us(time_bucket(interval 1 hour, ts)) start_us, round(avg(util), 6) mean, max(util) most from probes group by 1, 2")
+def stream_windows(t):
+    path = new_path(t.spark, "windows")
+    probes = t.spark.sql(VIEWS["probes"], events=_events(t))
+    found = monitor.windows(probes, "1 hour")
+    started = found.writeStream.outputMode("complete").option("checkpointLocation", new_path(t.spark, "windows-state")).trigger(availableNow=True)
+    started.foreachBatch(lambda df, _: df.write.mode("overwrite").parquet(path)).start().awaitTermination()
+    rows = t.spark.read.parquet(path)
+    return rows.select("instance", F.unix_micros(F.col("start").cast("timestamp")).alias("start_us"), F.round("mean", 6).alias("mean"), "most")
