@@ -38,7 +38,7 @@ def pagerank(edges: DataFrame, users: DataFrame | None = None, iters: int = 10,
     """(id, rank): every node starts at 1; ranks average 1 while no mass is lost.
 
     Edges carry their source's out-degree from the start. Each round joins them with the ranks
-    once and adds the dangling mass, a one-row frame, over the number of nodes. The round's
+    once and adds the dangling mass, a scalar subquery, over the number of nodes. The round's
     ranks are written to the shared folder, so the plan never grows.
     """
     everyone = nodes(edges, users)
@@ -47,7 +47,7 @@ def pagerank(edges: DataFrame, users: DataFrame | None = None, iters: int = 10,
     ranks = cut(everyone.join(out.withColumnRenamed("src", "id"), "id", "left").select("id", F.col("out_degree").isNull().alias("dangles"), F.lit(1.0).alias("rank")), "ranks")
     for _ in range(iters):
         received = links.join(ranks.select(F.col("id").alias("src"), "rank"), "src").groupBy(F.col("dst").alias("id")).agg(F.sum(F.col("rank") / F.col("out_degree")).alias("received"))
-        mass = ranks.agg((F.coalesce(F.sum(F.when(F.col("dangles"), F.col("rank"))), F.lit(0.0)) / F.count(F.lit(1))).alias("mass"), F.lit(1).alias("_one"))
-        moved = ranks.join(received, "id", "left").withColumn("_one", F.lit(1)).join(F.broadcast(mass), "_one")
-        ranks = cut(moved.select("id", "dangles", ((1 - d) + d * (F.coalesce("received", F.lit(0.0)) + F.col("mass"))).alias("rank")), "ranks")
+        mass = ranks.agg(F.coalesce(F.sum(F.when(F.col("dangles"), F.col("rank"))), F.lit(0.0)) / F.count(F.lit(1))).scalar()
+        moved = ranks.join(received, "id", "left")
+        ranks = cut(moved.select("id", "dangles", ((1 - d) + d * (F.coalesce("received", F.lit(0.0)) + mass)).alias("rank")), "ranks")
     return ranks.select("id", "rank")

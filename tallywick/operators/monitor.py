@@ -41,6 +41,6 @@ def threshold_alarms(probes: DataFrame, width: str = "60 seconds", high: float =
 
 def latest_util(probes: DataFrame, width: str = "60 seconds", back: str = "30 minutes") -> DataFrame:
     """(instance, mean, most): the latest window's mean and the highest load of the span that ends with the table's last probe."""
-    last = probes.agg(F.max("ts").alias("_now"), F.lit(1).alias("_one"))
-    recent = probes.withColumn("_one", F.lit(1)).join(F.broadcast(last), "_one").where(F.col("ts") > F.col("_now") - F.expr(f"interval {back}"))
+    last = probes.agg(F.max("ts")).scalar()
+    recent = probes.where(F.col("ts") > last - F.expr(f"interval {back}"))
     return windows(recent, width).groupBy("instance").agg(F.max_by("mean", "start").alias("mean"), F.max("most").alias("most"))

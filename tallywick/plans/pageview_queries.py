@@ -62,7 +62,7 @@ def clean(t):
       (select coalesce(cast(sum(views) as bigint), 0) from clean where regexp_matches(title, '^(Click)(.*)(1)$')) list_views,
       (select case when a > b then '2014' else '2015' end from film) film_year""")
 def hourly(t):
-    return pv.hour_answers(hour(t), pv.clean_pagecounts(hour(t)), 50, "^(Click)(.*)(1)$")
+    return pv.hour_answers(hour(t), "en", 50, "^(Click)(.*)(1)$")
 
 
 @query("a07_daily_pivot", "A07 C03 X16", views=("pagecounts",), sql=_MONTH + """
