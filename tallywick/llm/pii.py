@@ -46,7 +46,7 @@ BATCH = 128
 RATE = 0.05
 DECAY = 1e-4
 ROUNDS = 12
-CONFIDENCE = 0.9
+CONFIDENCE = 0.6
 OBSERVED = 12.0
 
 # The four patterns. Look-behinds and possessive repeats only spare starts inside a run that
