@@ -173,6 +173,26 @@ def observed(spans: list[tuple[int, int]], base: list[Span]) -> list[int]:
     return out
 
 
+def reached(text: str, spans: list[tuple[int, int]], known: list[int]) -> list[set[int]]:
+    """For each token the base labels that edges connect it with: without one nothing can be carried to it."""
+    head = list(range(len(spans)))
+
+    def top(i: int) -> int:
+        while head[i] != i:
+            head[i] = head[head[i]]
+            i = head[i]
+        return i
+
+    for links in edges(text, spans):
+        for a, b in links.tolist():
+            head[top(b)] = top(a)
+    labels: dict[int, set[int]] = {}
+    for i, label in enumerate(known):
+        if label:
+            labels.setdefault(top(i), set()).add(label)
+    return [labels.get(top(i), set()) for i in range(len(spans))]
+
+
 @dataclass
 class Field:
     own: np.ndarray  # features by labels
@@ -218,11 +238,11 @@ class Field:
         places = tokens(text) if self.trained else []
         if places:
             known = observed(places, base)
-            if not all(known):
-                sure = self.marginals(text, places, known)
-                for (start, end), label, row in zip(places, known, sure):
+            if any(known) and not all(known):
+                sure, near = self.marginals(text, places, known), reached(text, places, known)
+                for (start, end), label, row, labels in zip(places, known, sure, near):
                     best = int(row.argmax())
-                    if not label and best and row[best] >= CONFIDENCE:
+                    if not label and best in labels and row[best] >= CONFIDENCE:
                         found.append((start, best - 1, end, False))
         return sorted(found)
 
