@@ -27,6 +27,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tallywick.llm.common import among_least
+
 N_GRAM = 4
 BUCKET_BITS = 18
 BUCKETS = 1 << BUCKET_BITS
@@ -110,11 +112,14 @@ def grams_column(text: Column) -> Column:
 def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     """Learn from (doc_id, text, lang); rows with a null id, text or lang teach nothing."""
     usable = labelled.where("doc_id is not null and text is not null and lang is not null")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = usable.select("doc_id", "lang").withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_language)
-    names = chosen.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect()
-    if len(names) > MAX_LANGUAGES:
+    sizes = usable.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()
+    if len(sizes) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    low = F.lit(False)
+    for row in sizes:
+        low = low | ((F.col("lang") == row["lang"]) & among_least(F.xxhash64("doc_id"), per_language, row["count"]))
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    chosen = usable.where(low).select("doc_id", "lang").withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_language)
     wanted = usable.join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id", "left_semi")  # at most per_language * MAX_LANGUAGES
     rows = wanted.select("doc_id", "lang", grams_column(F.col("text")).alias("grams")).collect()
     taken: dict[str, int] = {}

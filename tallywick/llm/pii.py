@@ -34,7 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallywick.llm.common import ids_and_texts
+from tallywick.llm.common import among_least, ids_and_texts
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = len(KINDS) + 1
@@ -293,25 +293,28 @@ def fit(df: DataFrame, train_tokens: int = TRAIN_TOKENS) -> Field:
         return pa.array(out, pa.list_(pa.struct([("features", pa.binary()), ("label", pa.int32())])))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((2, LABELS, LABELS), np.int64)
+        counts, n_tokens = np.zeros((2, LABELS, LABELS), np.int64), 0
         for batch in batches:
             for t in batch["text"]:
                 text = t.as_py()
                 places = tokens(text)
+                n_tokens += len(places)
                 label = np.array(observed(places, base_spans(text)), np.int64)
                 for kind, links in enumerate(edges(text, places)):
                     if len(links):
                         np.add.at(counts[kind], (label[links[:, 0]], label[links[:, 1]]), 1)
-        yield pa.RecordBatch.from_arrays([pa.array(range(counts.size), pa.int32()), pa.array(counts.ravel())], ["cell", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(range(-1, counts.size), pa.int32()), pa.array(np.concatenate([[n_tokens], counts.ravel()]))], ["cell", "n"])
 
     texts = df.select("doc_id", "text").where("text rlike '[0-9@]'")
     totals = texts.select("text").mapInArrow(counted, "cell int, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros((2, LABELS, LABELS))
+    n_tokens = sum(r["n"] for r in totals if r["cell"] < 0)
     for r in totals:
-        counts.ravel()[r["cell"]] = r["n"]
+        if r["cell"] >= 0:
+            counts.ravel()[r["cell"]] = r["n"]
     # A token's hash doesn't depend on its document alone, so no one document fills the sample.
     sample = texts.select("doc_id", F.posexplode(labelled("text")).alias("place", "t")).select("t.features", "t.label", F.xxhash64("doc_id", "place", "t.features").alias("h"))
-    rows = sample.orderBy("h", "features", "label").limit(train_tokens).collect()
+    rows = sample.where(among_least(F.col("h"), train_tokens, n_tokens)).orderBy("h", "features", "label").limit(train_tokens).collect()
     if not rows:
         return UNTRAINED
     matrix = np.array([np.frombuffer(r["features"], np.int32) for r in rows])

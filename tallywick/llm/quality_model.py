@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tallywick.llm.common import among_least
 from tallywick.llm.language_id import held_out
 
 WORD_BITS = 14
@@ -158,7 +159,9 @@ def _length(df: DataFrame) -> Column:
 def fit(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Machine:
     """Learn from the labels (doc_id, quality) of at most `rows` documents."""
     known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    chosen = known.join(documents.select("doc_id").distinct(), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    usable = known.join(documents.select("doc_id").distinct(), "doc_id", "left_semi")
+    low = among_least(F.xxhash64("doc_id"), rows, usable.count())
+    chosen = usable.where(low).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
 
     @F.arrow_udf("struct<ids:binary,x:binary,stats:binary>")
     def computed(texts: pa.Array, sizes: pa.Array) -> pa.Array:
