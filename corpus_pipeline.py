@@ -32,11 +32,13 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     that differ.
     """
     ready(spark)
-    groups = simhash.near_duplicates(docs).select("doc_id", "component_id")
-    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
-    stays = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    groups = simhash.near_duplicates(docs)
+    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept"), F.col("fp").alias("_fp")).distinct()
+    same_id = F.col("doc_id").eqNullSafe(F.col("_kept"))
     if docs.groupBy("doc_id").count().where("count > 1").limit(1).isEmpty():
-        return stays
+        return docs.join(kept, same_id, "left_semi")
+    marked = docs.withColumn("_own", simhash.fingerprint_column(F.col("text")))
+    stays = marked.join(kept, same_id & (F.col("_own") == F.col("_fp")), "left_semi").select(*docs.columns)
     return stays.dropDuplicates(["doc_id", "text"])
 
 

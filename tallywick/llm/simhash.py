@@ -30,7 +30,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tallywick.llm.common import ids_and_texts
 from tallywick.llm.components import components
@@ -61,14 +61,19 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big", signed=True)
 
 
-def fingerprints(df: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): the 64 bits as a signed long."""
+def fingerprint_column(text: Column, shingle: int = SHINGLE) -> Column:
+    """The 64 bits as a signed long."""
 
     @F.arrow_udf("bigint")
     def of(texts: pa.Array) -> pa.Array:
         return pa.array([fingerprint(t.as_py() or "", shingle) for t in texts], pa.int64())
 
-    return df.select("doc_id", of(F.coalesce("text", F.lit(""))).alias("fp"))
+    return of(F.coalesce(text, F.lit("")))
+
+
+def fingerprints(df: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """(doc_id, fp)."""
+    return df.select("doc_id", fingerprint_column(F.col("text"), shingle).alias("fp"))
 
 
 def masks(distance: int) -> list[int]:
