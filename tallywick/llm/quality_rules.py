@@ -44,7 +44,7 @@ class Rule:
 #: The verdict past the base rules. Ratios are per word, or per line with a word.
 RULES = (
     Rule("mean_word_chars", 1.5, 30.0),
-    Rule("symbols_per_word", None, 0.5),
+    Rule("symbols_per_word", None, 0.1),
     Rule("bangs_per_word", None, 0.5),
     Rule("stop_word_ratio", 0.01, None),
     Rule("dup_line_ratio", None, 0.5),
@@ -153,6 +153,6 @@ m as (
   from w left join c using (r)
 ), f as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words base_failed, greatest(n_words, 1) nw from m)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  not base_failed and word_chars / nw between 1.5 and 30 and n_symbols / nw <= 0.5 and n_bangs / nw <= 0.5 and n_stop / nw >= 0.01
+  not base_failed and word_chars / nw between 1.5 and 30 and n_symbols / nw <= 0.1 and n_bangs / nw <= 0.5 and n_stop / nw >= 0.01
     and n_dup_lines / greatest(n_lines, 1) <= 0.5 kept
 from f"""
