@@ -23,7 +23,6 @@ rows are encoded one by one; an empty table gives an empty result; other columns
 from __future__ import annotations
 
 import base64
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +33,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 LEAF = 16_384  # characters that are split at once
 LEAF_BYTES = 24  # of a match that are merged without halving
 NONE = 1 << 62  # above every rank
-CACHED = 200_000  # matches whose ids a worker keeps
+CACHED = 600_000  # matches whose ids a worker keeps, about 130 MB
 TABLE_BITS = 19
+ID = np.dtype(np.int32)
 AT_ONCE = 8192  # matches that are merged side by side
 GROUP = 2_000_000  # characters that are split before new matches are encoded
 MAX_RANK_FILE = 64 * 1024 * 1024  # the ranks go to every executor
@@ -57,7 +57,7 @@ class Bpe:
         self.split = regex.compile(pattern).findall
         self.tables = _tables(np.array(list(self.pairs), np.int64), np.array(list(self.pairs.values()), np.int64))
         self.byte_table = np.array(self.bytes, np.int64)
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}  # packed ids by match
 
     # Tokens of one match.
 
@@ -98,8 +98,8 @@ class Bpe:
         half = len(data) // 2
         return self.joined(self.encoded(data[:half]), self.encoded(data[half:]))
 
-    def merged_many(self, leaves: list[bytes]) -> list[list[int]]:
-        """`merged` for many short strings at once: a row each, one merge in every open row per step."""
+    def merged_many(self, leaves: list[bytes]) -> list[bytes]:
+        """`merged` for many short strings at once: a row each, one merge in every open row per step; ids are packed."""
         sizes = np.array([len(x) for x in leaves])
         width = int(sizes.max())
         rows = np.full((len(leaves), width + 1), -1, np.int64)
@@ -111,8 +111,9 @@ class Bpe:
             at = ranks.argmin(axis=1)
             best = ranks[np.arange(len(at)), at]
             ended = best == NONE
-            for i, row in zip(number[ended].tolist(), rows[ended].tolist()):
-                done[i] = row[:row.index(-1)] if row[-1] == -1 else row
+            whole, held = rows[ended].astype(ID).tobytes(), 4 * (width + 1)
+            for k, (i, n) in enumerate(zip(number[ended].tolist(), (rows[ended] >= 0).sum(axis=1).tolist())):
+                done[i] = whole[k * held:k * held + 4 * n]
             number, rows, ranks, at, best = number[~ended], rows[~ended], ranks[~ended], at[~ended], best[~ended]
             if not len(number):
                 break
@@ -183,7 +184,7 @@ class Bpe:
             if len(data) <= LEAF_BYTES and data not in self.ranks:
                 short.append((match, data))
             else:
-                self.known[match] = self.encoded(data)
+                self.known[match] = np.array(self.encoded(data), ID).tobytes()
         short.sort(key=lambda x: len(x[1]))
         for at in range(0, len(short), AT_ONCE):
             part = short[at:at + AT_ONCE]
@@ -193,7 +194,7 @@ class Bpe:
         split = [self.matches(t) for t in texts]
         self.learn(set().union(*split))
         known = self.known.__getitem__
-        return [np.array(list(chain.from_iterable(map(known, s))), np.int32) for s in split]
+        return [np.frombuffer(b"".join(map(known, s)), ID) for s in split]
 
     def ids(self, text: str) -> list[int]:
         return self.ids_of([text])[0].tolist()
@@ -257,7 +258,7 @@ class ByteBpe:
                     ids += bpe.ids_of(group)
                     group, size = [], 0
             ids += bpe.ids_of(group)
-            flat = np.concatenate([np.zeros(0, np.int32), *ids])
+            flat = np.concatenate([np.zeros(0, ID), *ids])
             return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, ids)]), pa.int32()), pa.array(flat))
 
         return encode(F.coalesce(text.cast("string"), F.lit("")))
