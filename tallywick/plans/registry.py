@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from tallywick.plans.views import Tables, check_sql
+from tallywick.session import reach_workers
 
 
 @dataclass(frozen=True)
@@ -55,7 +56,7 @@ def load_all() -> dict[str, Query]:
 
 def callable_for(name: str) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return REGISTRY[name].run(Tables(spark, sf_dir))
+        return REGISTRY[name].run(Tables(reach_workers(spark), sf_dir))
 
     run.__name__ = name
     return run

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -26,6 +27,18 @@ def local_session(cores: int | str = 8, app: str = "tallywick", **conf: str) ->
     return use_utc(spark)
 
 
+def reach_workers(spark: SparkSession) -> SparkSession:
+    """Let Python workers import this package where the driver found it only through sys.path.
+
+    On a cluster the package is installed or sent with --py-files.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in path.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(x for x in (path, root) if x)
+    return spark
+
+
 def use_utc(spark: SparkSession) -> SparkSession:
     """All jobs read and print times in UTC."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
