@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+from tallywick.session import reach_workers as ready  # noqa: F401
 
 # White space of the word rules: space and the five control characters tab to carriage return.
 BLANKS = r"[\x20\x09-\x0D]+"
@@ -18,18 +16,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def ready(spark: SparkSession) -> SparkSession:
-    """Let Python workers import this package by reference, so that their caches outlive a task.
-
-    On a cluster the package is installed or sent with --py-files; this covers a session
-    whose driver found it only through sys.path.
-    """
-    path = spark.sparkContext.environment.get("PYTHONPATH", "")
-    if ROOT not in path.split(os.pathsep):
-        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(x for x in (path, ROOT) if x)
-    return spark
-
-
 def ids_and_texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Only the two columns an operator reads, under fixed names; other columns can't clash."""
     return df.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
