@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tallywick.llm import byte_bpe, decontamination, filter_audit, language_id, lexical_search, pii, quality_model, quality_rules, repeats, secrets_scan, simhash, url_filter
+from tallywick.llm import byte_bpe, decontamination, filter_audit, language_id, lexical_search, pii, quality_model, quality_rules, repeats, secrets_scan, simhash, toxicity, url_filter
 from tallywick.llm.common import ready, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,6 +39,7 @@ register("op9_pii", pii.op9_pii, "documents")
 register("op10_repeats", repeats.op10_repeats, "documents")
 register("op11_lexical_search", lexical_search.op11_lexical_search, "documents", "benchmark", sql=lexical_search.SQL)
 register("op12_filter_audit", filter_audit.op12_filter_audit, "documents", "labels", sql=filter_audit.SQL)
+register("op13_toxicity", toxicity.op13_toxicity, "documents", "labels")
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
