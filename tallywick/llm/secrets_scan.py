@@ -8,13 +8,21 @@ The surviving (text, rule) pairs are candidates; the regex itself verifies them.
 a mandatory trigram (a run of hex digits) are run on every text.
 
 Texts are keyed by a 64-bit hash in the index: equal texts have one posting, so copies don't
-make it heavy, and a clash of hashes only adds a candidate, which the regex rejects.
+make it heavy, and a clash of hashes only adds a candidate, which the regex rejects. The
+candidates (a hash and a bit for each rule) are written out and counted: up to MAX_SENT of them go
+to every task, and no text is shuffled; more are joined by hash, where Spark splits a hash with
+very many copies.
+
+Long texts. No rule has a repeated group (Java's matcher recurses once a round), and one that may
+fail after a long run starts only where the run does, possessively, so a run is read once; the
+text between the words of a private key's header is at most 64 characters.
 
 Positions come from Spark's own functions: the pieces between matches and the matches, in
 turn, make up the text, so a running sum of their lengths is each match's start.
 
 Defined results: a null text counts as an empty one and has no spans; repeated rows are
-scanned row by row; an empty table gives an empty result; other columns are not read.
+scanned row by row; texts are scanned whole, in time proportional to their length; an empty
+table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -27,7 +35,9 @@ from itertools import product
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallywick.llm.common import ids_and_texts
+from tallywick.session import cut
 
+MAX_SENT = 1_000_000  # candidates of 12 bytes each that are sent to every task
 MOST_STRINGS = 64  # alternatives of one literal piece that are kept apart
 
 
@@ -49,11 +59,11 @@ BASE = (
 )
 #: Well-known public forms of other credentials.
 ADDED = (
-    Rule("pem", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"),
+    Rule("pem", r"-----BEGIN [A-Z ]{0,64}PRIVATE KEY-----"),
     Rule("code_host", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("chat", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("maps", r"AIza[A-Za-z0-9_-]{35,}"),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
+    Rule("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{10,}+\.eyJ[A-Za-z0-9_-]{10,}+\.[A-Za-z0-9_-]{10,}+"),
 )
 RULES = BASE + ADDED
 
@@ -96,6 +106,8 @@ def _walk(nodes: list) -> tuple[set[str], Query]:
     for node in nodes:
         code, value = node
         part = _choices(node)
+        if code is op.ASSERT_NOT:  # looks at what stands beside a match and has no length
+            continue
         if code is op.SUBPATTERN:
             inner, closed = _walk(list(value[3]))
             if closed:
@@ -108,7 +120,7 @@ def _walk(nodes: list) -> tuple[set[str], Query]:
             for branch in value[1]:
                 inner, closed = _walk(list(branch))
                 part = None if closed or part is None else part | inner
-        elif code is op.MAX_REPEAT:
+        elif code in (op.MAX_REPEAT, op.POSSESSIVE_REPEAT):
             low, high, inside = value
             inner, closed = _walk(list(inside))
             if (low, high) == (0, 1) and not closed:
@@ -138,16 +150,16 @@ def postings(texts: DataFrame, trigrams: list[str]) -> DataFrame:
 
 
 def candidates(index: DataFrame, queries: dict[str, Query]) -> DataFrame:
-    """(key, kinds): the rules whose query the postings satisfy, for each text that has any."""
-    asked = [(kind, c, a, t, len(alternative)) for kind, query in queries.items() for c, clause in enumerate(query)
+    """(key, kinds): the rules whose query the postings satisfy, as bits in the queries' order, for each text that has any."""
+    asked = [(kind, c, a, t, len(alternative)) for kind, query in enumerate(queries.values()) for c, clause in enumerate(query)
              for a, alternative in enumerate(clause) for t in sorted(alternative)]
-    terms = index.sparkSession.createDataFrame(asked, "kind string, clause int, alternative int, trigram string, need long")
-    clauses = index.sparkSession.createDataFrame([(kind, len(q)) for kind, q in queries.items()], "kind string, n_clauses long")
+    terms = index.sparkSession.createDataFrame(asked, "kind int, clause int, alternative int, trigram string, need long")
+    clauses = index.sparkSession.createDataFrame([(kind, len(q)) for kind, q in enumerate(queries.values())], "kind int, n_clauses long")
     matched = index.join(F.broadcast(terms), "trigram")  # one row per trigram of the rules
     whole = matched.groupBy("key", "kind", "clause", "alternative", "need").count().where("count = need")
     met = whole.select("key", "kind", "clause").distinct().groupBy("key", "kind").count()
     kept = met.join(F.broadcast(clauses), "kind").where("count = n_clauses")
-    return kept.groupBy("key").agg(F.collect_set("kind").alias("kinds"))
+    return kept.groupBy("key").agg(F.bit_or(F.call_function("shiftleft", F.lit(1), F.col("kind"))).alias("kinds"))
 
 
 def matches(text: Column, rule: Rule) -> Column:
@@ -161,7 +173,7 @@ def matches(text: Column, rule: Rule) -> Column:
     return F.transform(made, lambda m, i: F.struct(m["kind"].alias("kind"), i.alias("place"), m["gap"].alias("gap"), m["size"].alias("size"), m["counts"].alias("counts")))
 
 
-def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
+def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: tuple[Rule, ...] = RULES, max_sent: int = MAX_SENT) -> DataFrame:
     """(doc_id, spans), one row per input row; spans are (start, rank, kind, end) in order, in code points."""
     queries = {r.kind: trigram_query(r.regex) for r in rules}
     indexed = {kind: query for kind, query in queries.items() if query}
@@ -170,9 +182,12 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: t
     trigrams = sorted({t for query in indexed.values() for clause in query for alternative in clause for t in alternative})
     numbered = docs.withColumn("row", F.monotonically_increasing_id())
     if indexed:
-        numbered = numbered.join(candidates(postings(docs, trigrams), indexed), "key", "left")
+        passed = cut(candidates(postings(docs, trigrams), indexed), "secret-candidates")
+        few = passed.limit(max_sent + 1).count() <= max_sent
+        numbered = numbered.join(F.broadcast(passed) if few else passed.hint("shuffle_merge"), "key", "left")
     none = F.array().cast("array<struct<kind:string,place:int,gap:int,size:int,counts:boolean>>")
-    found = [matches(F.col("text"), r) if r.kind not in indexed else F.when(F.array_contains("kinds", r.kind), matches(F.col("text"), r)) for r in rules]
+    bit = {kind: 1 << i for i, kind in enumerate(indexed)}
+    found = [matches(F.col("text"), r) if r.kind not in indexed else F.when(F.col("kinds").bitwiseAND(F.lit(bit[r.kind])) != 0, matches(F.col("text"), r)) for r in rules]
     all_found = F.flatten(F.array(*[F.coalesce(m, none) for m in found]))
     rows = numbered.select("row", "doc_id", all_found.alias("m")).select("row", "doc_id", F.explode_outer("m").alias("m")).select("row", "doc_id", "m.*")
     along = Window.partitionBy("row", "kind").orderBy("place").rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 
 from hypothesis import given, settings, strategies as st
 
@@ -38,6 +39,43 @@ def test_added_kinds(spark):
     assert got == {1: "pem:2:33", 2: "code_host:0:40", 3: ""}
 
 
+ADDED = {r.kind: re.compile(r.regex, re.A) for r in secrets_scan.ADDED}
+PIECES = ["-----BEGIN ", "PRIVATE KEY-----", "RSA ", "A ", "ghp_", "gho_", "xoxb-", "AIza", "eyJ", ".eyJ", ".", "_", "-", " ", "\n", "a", "Z9", "abcdefghij" * 2, "é", "x" * 36]
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(PIECES), max_size=14).map("".join), min_size=1, max_size=30))
+def test_added_kinds_against_re(spark, texts):
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: [(s["kind"], s["start"], s["end"]) for s in r["spans"] if s["rank"] > len(secrets_scan.BASE)] for r in secrets_scan.scan(frame).collect()}
+    for i, text in enumerate(texts):
+        assert sorted(got[i]) == sorted((kind, m.start(), m.end()) for kind, found in ADDED.items() for m in found.finditer(text))
+
+
+def test_every_added_kind(spark):
+    made = {"pem": "-----BEGIN EC PRIVATE KEY-----", "code_host": "ghs_" + "a1B2" * 9, "chat": "xoxb-12345-abcdef", "maps": "AIza" + "b-_9Z" * 7, "jwt": "eyJ" + "a" * 10 + ".eyJ" + "b" * 10 + "." + "C" * 10}
+    assert set(made) == set(ADDED)
+    frame = spark.createDataFrame([(i, f"é {t} .") for i, t in enumerate(made.values())], "doc_id long, text string")
+    got = {r["doc_id"]: r["spans"] for r in secrets_scan.op7_secrets_scan(frame).collect()}
+    assert got == {i: f"{kind}:2:{2 + len(t)}" for i, (kind, t) in enumerate(made.items())}
+
+
+def test_long_texts(spark):
+    """A megabyte of what looks like the start of a secret: no deep recursion and no second reading."""
+    texts = ["-----BEGIN " + "A " * 500_000 + "private key-----", "eyJ" * 330_000 + " .eyJ", ("eyJ" + "z" * 40 + ".") * 20_000, "token" + " " * 1_000_000, "-----BEGIN " * 90_000, "ghp_" * 250_000]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(6)
+    started = time.time()
+    got = {r["doc_id"]: r["spans"] for r in secrets_scan.op7_secrets_scan(frame).collect()}
+    assert time.time() - started < 30
+    assert got == {i: ",".join(f"{kind}:{m.start()}:{m.end()}" for kind, found in ADDED.items() for m in found.finditer(text)) for i, text in enumerate(texts)}
+
+
+def test_many_candidates_are_joined_by_hash(spark):
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS * 3)], "doc_id long, text string")
+    whole = sorted(map(tuple, secrets_scan.scan(frame).collect()))
+    assert sorted(map(tuple, secrets_scan.scan(frame, max_sent=2).collect())) == whole
+
+
 def test_rules_without_trigrams_scan_fully():
     assert secrets_scan.trigram_query("[0-9a-f]{24,}") == []
     assert secrets_scan.trigram_query("ab|cdef") == []
