@@ -32,7 +32,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tallywick.llm.common import among_least
 from tallywick.llm.language_id import held_out
@@ -255,11 +255,12 @@ def sample(documents: DataFrame, labels: DataFrame, per_label: int) -> tuple[Dat
     known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max((F.col("toxic") == 1).cast("int")).alias("label"))
     usable = known.join(documents.where("doc_id is not null").select("doc_id").distinct(), "doc_id", "left_semi")
     sizes = {r["label"]: r["count"] for r in usable.groupBy("label").count().collect()}
-    low = F.lit(False)
-    for label, size in sizes.items():
-        low = low | ((F.col("label") == label) & among_least(F.xxhash64("doc_id"), per_label, size))
-    order = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = usable.where(low).withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_label).select("doc_id", "label")
+    chosen = None
+    for label, size in sorted(sizes.items()):  # two at most
+        low = usable.where((F.col("label") == label) & among_least(F.xxhash64("doc_id"), per_label, size))
+        least = low.orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_label)
+        chosen = least if chosen is None else chosen.unionByName(least)
+    chosen = usable.limit(0) if chosen is None else chosen
     texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")  # at most 2 * per_label
     one = texts.groupBy("doc_id", "label").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("least"))
     fold = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(FOLDS)).cast("int")
