@@ -2,18 +2,21 @@
 
 A listed URL is a host and a path, in canonical form host + path; it stands for the host and
 all its subdomains, where the path starts with the listed one. A page's URL can therefore be
-listed under any suffix of its host labels with any prefix of its path that has the length of
-a listed path. Each such pair is looked up in the filter: its hash picks one block of four
+listed under a suffix of its host labels and a prefix of its path; tried are those with as many
+labels and characters as some listed entry has. Each such pair is looked up in the filter: its hash picks one block of four
 64-bit words and two bits in each, so a look-up reads one row. What passes goes to an exact
 join on (host, path), which removes the filter's false positives. The longest entry decides.
 
 The filter has a block per KEYS_PER_BLOCK listed URLs. It is broadcast while it has at most
-MAX_BLOCKS blocks (under 64 MB), else joined by block number; both give the same result. The
-list itself is left to Spark's join choice, which goes by its size.
+MAX_BLOCKS blocks (under 64 MB), else joined by block number; both give the same result. Up to
+MAX_SHAPES different pairs of label and path lengths are a constant of the plan; with more, all
+path prefixes are tried, which only adds look-ups. The list itself is left to Spark's join
+choice, which goes by its size.
 
 Defined results: a null URL, or one without `://`, has an empty host and path and no rule; of
 equally long entries allow wins, then the lesser text; a null host, path or verdict in the list is skipped;
-repeated pages are judged row by row; empty tables give empty results; other columns are not read.
+repeated pages are judged row by row; very long hosts and paths are tried at the listed lengths
+only, so they cost their length for each; empty tables give empty results; other columns are not read.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com"
 DEFAULT = "allow"
 KEYS_PER_BLOCK = 16
 MAX_BLOCKS = 1 << 20
-MAX_PATH_LENGTHS = 4096
+MAX_SHAPES = 1024
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -38,10 +41,8 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return lower_ascii(part(1)), part(2)
 
 
-def suffixes(host: Column) -> Column:
-    """The host, and what is left of it after each of its dots."""
-    labels = F.split(host, r"\.", -1)
-    return F.transform(labels, lambda _, i: F.array_join(F.slice(labels, i + 1, F.size(labels)), "."))
+def n_labels(host: Column) -> Column:
+    return F.length(host) - F.length(F.replace(host, F.lit("."), F.lit(""))) + 1
 
 
 def block(host: Column, path: Column, n_blocks: int) -> Column:
@@ -62,21 +63,26 @@ def bloom(listed: DataFrame, n_blocks: int) -> DataFrame:
     return made.groupBy("block").agg(*[F.bit_or(f"word_{k}").alias(f"word_{k}") for k in range(4)])
 
 
-def judge(pages: DataFrame, listed: DataFrame, id_col: str = "page_id", url_col: str = "url", default: str = DEFAULT) -> DataFrame:
+def judge(pages: DataFrame, listed: DataFrame, id_col: str = "page_id", url_col: str = "url", default: str = DEFAULT, max_shapes: int = MAX_SHAPES, max_blocks: int = MAX_BLOCKS) -> DataFrame:
     """(page_id, host, path, rule, verdict), one row per page; `listed` has host, path, verdict."""
     listed = listed.select(lower_ascii(F.col("host")).alias("host"), "path", "verdict").where("host is not null and path is not null and verdict is not null")
     n_blocks = max(1, math.ceil(listed.count() / KEYS_PER_BLOCK))
-    lengths = [r[0] for r in listed.select(F.length("path")).distinct().limit(MAX_PATH_LENGTHS + 1).collect()]
-    if len(lengths) > MAX_PATH_LENGTHS:
-        raise ValueError(f"listed paths have more than {MAX_PATH_LENGTHS} lengths")
+    shape = listed.select(n_labels(F.col("host")).alias("labels"), F.length("path").alias("size")).distinct()
+    shapes = shape.limit(max_shapes + 1).collect()  # bounded by max_shapes
     host, path = host_and_path(F.col(f"`{url_col}`"))
     urls = pages.select(F.monotonically_increasing_id().alias("row"), F.col(f"`{id_col}`").alias("page_id"), host.alias("host"), path.alias("path"))
-    known = F.filter(F.array(*map(F.lit, sorted(lengths))) if lengths else F.array().cast("array<int>"), lambda n: n <= F.length("path"))
-    tried = urls.withColumn("a_host", F.explode(suffixes(F.col("host")))).withColumn("length", F.explode_outer(known))
-    tried = tried.withColumn("a_path", F.when(F.col("length").isNotNull(), F.expr("substring(path, 1, length)")))
+    if len(shapes) <= max_shapes:
+        known = F.lit([f"{r['labels']} {r['size']}" for r in sorted(shapes)]) if shapes else F.array().cast("array<string>")
+        known = F.transform(known, lambda x: F.struct(F.split(x, " ")[0].cast("int").alias("labels"), F.split(x, " ")[1].cast("int").alias("size")))
+        tried = urls.withColumn("shape", F.explode_outer(F.filter(known, lambda x: (x["labels"] <= n_labels(F.col("host"))) & (x["size"] <= F.length("path")))))
+    else:
+        most = shape.agg(F.max("labels")).scalar()
+        tried = urls.withColumn("labels", F.explode(F.sequence(F.lit(1), F.least(n_labels(F.col("host")), most))))
+        tried = tried.withColumn("size", F.explode(F.sequence(F.lit(0), F.length("path")))).withColumn("shape", F.struct("labels", "size"))
+    tried = tried.withColumn("a_host", F.expr("substring_index(host, '.', -shape.labels)")).withColumn("a_path", F.expr("substring(path, 1, shape.size)"))
     blocks = bloom(listed, n_blocks)
     looked = tried.withColumn("block", block(F.col("a_host"), F.col("a_path"), n_blocks)).join(
-        F.broadcast(blocks) if n_blocks <= MAX_BLOCKS else blocks, "block", "left")
+        F.broadcast(blocks) if n_blocks <= max_blocks else blocks, "block", "left")
     passed = F.lit(True)
     for k, mark in enumerate(marks(F.col("a_host"), F.col("a_path"))):
         passed = passed & (F.col(f"word_{k}").bitwiseAND(mark) == mark)

@@ -1,6 +1,7 @@
 """URL filter against a plain look through the list, with few and many listed URLs."""
 
 import random
+import time
 
 from tallywick.llm import url_filter
 
@@ -25,10 +26,10 @@ URLS = [None, "", "no scheme", "http://example.net/en/1?x=1", "HTTP://Blog.Examp
         "https://example.com/de", "x://y://example.org/fr/1", "http://ÜBER.org/fr/é", "http://a.org?q=/fr/", "http://.net/a", "http://a..org/fr/", "http://example.net/en/#?x", "http://line\nbreak.org/fr/\nx"]
 
 
-def check(spark, urls, rules):
+def check(spark, urls, rules, **options):
     pages = spark.createDataFrame([(i, u, "h") for i, u in enumerate(urls)], "page_id long, url string, host string")
     listed = spark.createDataFrame(rules, "host string, path string, verdict string")
-    got = {r["page_id"]: tuple(r)[1:] for r in url_filter.judge(pages, listed).collect()}
+    got = {r["page_id"]: tuple(r)[1:] for r in url_filter.judge(pages, listed, **options).collect()}
     assert got == {i: plain(u, rules) for i, u in enumerate(urls)}
 
 
@@ -43,6 +44,27 @@ def test_many_listed(spark):
     check(spark, [f"http://{host()}{rng.choice(['', '/', '/x/', '/x/yz', '/q', '/long/path/here/9'])}" for _ in range(400)], [(h, p, v) for (h, p), v in rules])
 
 
+def test_beyond_the_bounds(spark):
+    """Many shapes of listed URLs, or many blocks of the filter: other ways with the same result."""
+    rules = [("a.b", "/" + "x" * n, "block") for n in range(30)] + [("b", "/y/", "allow"), ("", "/e", "block")]
+    urls = [f"http://{h}/{'x' * n}" for h in ("a.b", "q.a.b", "ab", "b") for n in (0, 3, 29, 40)] + ["http://w.b/y/1", "http:///e", None]
+    for options in ({}, {"max_shapes": 5}, {"max_blocks": 1}, {"max_shapes": 5, "max_blocks": 1}):
+        check(spark, urls, rules, **options)
+
+
+def test_five_thousand_path_lengths(spark):
+    rules = [("long.org", "/" + "p" * n, "block" if n % 2 else "allow") for n in range(5000)]
+    check(spark, ["http://x.long.org/" + "p" * n + "/q" for n in (0, 1, 4998, 4999, 6000)] + ["http://long.org/q", "http://other.org/ppp"], rules)
+
+
+def test_long_hosts(spark):
+    """A host of very many labels costs its length for each listed number of labels."""
+    host = ".".join(["a"] * 100_000)
+    started = time.time()
+    check(spark, [f"http://{host}.net/x", f"http://{host}.example.net/en/1", f"http://{host}/"], list(url_filter.RULES))
+    assert time.time() - started < 20
+
+
 def test_empty_and_null(spark):
     pages = spark.createDataFrame([(1, "http://a.net/"), (None, "http://a.net/")], "page_id long, url string")
     none = spark.createDataFrame([(None, "/", "block"), ("net", None, "block"), ("net", "/", None)], "host string, path string, verdict string")
