@@ -8,9 +8,12 @@ ridge regression per language separates it from the rest there. Both maps are li
 scoring they are multiplied out once into one matrix (n-gram by language), and a batch of
 texts is scored by the product of its presence matrix with it.
 
-Bounds: at most `per_language` training rows for each language, the ones with the least
-hashes of their ids, whatever the size of the table, and MAX_LANGUAGES languages; the driver
-holds their n-gram numbers only (BUCKETS at most for each). Every text is scored whole.
+Bounds. The training sample is at most SAMPLE_ROWS rows and SAMPLE_GRAMS n-gram numbers: an equal
+share for each language, PER_LANGUAGE rows at most, those with the least hashes of their ids, one
+row of each id. The LANGUAGES most frequent languages are learnt; rarer ones teach nothing.
+The n-gram numbers are computed and stored by the tasks, and only chosen rows come to the driver.
+The matrix has a row for each n-gram of a landmark (BUCKETS at most). Every text is scored
+whole; a tile of texts by the matrix' n-grams holds at most TILE numbers.
 
 Defined results: a null text or one without a letter is `und` with score 0; with nothing to
 learn from, every text is; repeated rows are scored one by one; ids that are null are never
@@ -28,16 +31,22 @@ import regex
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallywick.llm.common import among_least
+from tallywick.session import cut
 
 N_GRAM = 4
 BUCKET_BITS = 18
 BUCKETS = 1 << BUCKET_BITS
 PER_LANGUAGE = 100
-LANDMARKS = 40  # of each language's training rows
+SAMPLE_ROWS = 6000
+SAMPLE_GRAMS = 16_000_000
+LANDMARKS = 40  # of each language's training rows, and at most MOST_LANDMARKS in all
+MOST_LANDMARKS = 600
 RIDGE = 0.1
 SHARPNESS = 4.0
-MAX_LANGUAGES = 200
+LANGUAGES = 400
+TILE = 4_000_000
 PIECE = 1 << 16  # characters that are hashed at once
+AT_ONCE = 256  # texts whose n-grams are held at once
 UNKNOWN = "und"
 
 _LETTER = regex.compile(r"\p{L}").search
@@ -59,46 +68,77 @@ def present(text: str) -> np.ndarray:
 @dataclass(frozen=True)
 class Model:
     languages: tuple[str, ...]
-    weights: np.ndarray  # BUCKETS x languages
-
-    def values(self, grams: np.ndarray) -> np.ndarray:
-        return self.weights[grams].sum(axis=0) / np.sqrt(max(1, len(grams)))
-
-    def predict(self, text: str | None) -> tuple[str, float]:
-        if not self.languages or text is None or not _LETTER(text):
-            return UNKNOWN, 0.0
-        values = self.values(present(text))
-        best = int(values.argmax())
-        if len(values) == 1:
-            return self.languages[0], 1.0
-        second = np.partition(values, -2)[-2]
-        return self.languages[best], float(1 / (1 + np.exp(-SHARPNESS * (values[best] - second))))
+    column: np.ndarray  # by n-gram number: its row of `weights`, or -1
+    weights: np.ndarray  # landmark n-grams x languages
+
+    def values(self, texts: list[np.ndarray]) -> np.ndarray:
+        """Texts (as n-gram numbers) by languages: presence matrices, a tile of texts each, times the weights."""
+        out = np.empty((len(texts), len(self.languages)), np.float32)
+        step = max(1, TILE // max(1, len(self.weights)))
+        for start in range(0, len(texts), step):
+            tile = texts[start:start + step]
+            sizes = np.array([len(grams) for grams in tile])
+            at = self.column[np.concatenate(tile)]
+            row = np.repeat(np.arange(len(tile)), sizes)
+            presence = np.zeros((len(tile), len(self.weights)), np.float32)
+            presence[row[at >= 0], at[at >= 0]] = 1
+            out[start:start + step] = presence @ self.weights / np.sqrt(np.maximum(1, sizes))[:, None]
+        return out
+
+    def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        out = [(UNKNOWN, 0.0)] * len(texts)
+        known = [i for i, t in enumerate(texts) if self.languages and t is not None and _LETTER(t)]
+        for start in range(0, len(known), AT_ONCE):
+            part = known[start:start + AT_ONCE]
+            values = self.values([present(texts[i]) for i in part])
+            best = values.argmax(axis=1)
+            top = values[np.arange(len(part)), best]
+            if len(self.languages) == 1:
+                sure = np.ones(len(part))
+            else:
+                sure = 1 / (1 + np.exp(-SHARPNESS * (top - np.partition(values, -2, axis=1)[:, -2])))
+            for i, k, score in zip(part, best, sure):
+                out[i] = (self.languages[k], float(score))
+        return out
+
+
+def kernel(marks: list[np.ndarray], texts: list[np.ndarray]) -> np.ndarray:
+    """Texts by marks: n-grams in both over the geometric mean of how many each has."""
+    sizes = np.array([len(t) for t in texts])
+    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+    grams = np.concatenate(texts)
+    out = np.empty((len(texts), len(marks)))
+    seen = np.zeros(BUCKETS, np.int32)
+    for k, mark in enumerate(marks):
+        seen[mark] = 1
+        out[:, k] = np.add.reduceat(seen[grams], starts) / np.sqrt(sizes * float(len(mark)))
+        seen[mark] = 0
+    return out
 
 
 def fitted(samples: list[tuple[str, np.ndarray]], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model:
     """The model of (language, n-gram numbers) rows; the first `landmarks` of each language are its landmarks."""
-    languages = tuple(sorted({lang for lang, grams in samples if len(grams)}))
-    if not languages:
-        return Model((), np.zeros((BUCKETS, 0), np.float32))
     rows = [(lang, grams) for lang, grams in samples if len(grams)]
-    marks = [g for lang in languages for g in [g for other, g in rows if other == lang][:landmarks]]
-    used = np.unique(np.concatenate(marks))
-    shared = np.zeros((len(marks), len(used)), np.float32)
-    for i, grams in enumerate(marks):
-        shared[i, np.searchsorted(used, grams)] = 1 / np.sqrt(len(grams))
-    kernel = np.empty((len(rows), len(marks)))
-    for i, (_, grams) in enumerate(rows):
-        at = np.searchsorted(used, grams)
-        at = at[(at < len(used)) & (used[np.minimum(at, len(used) - 1)] == grams)]
-        kernel[i] = shared[:, at].sum(axis=1) / np.sqrt(len(grams))
-    values, vectors = np.linalg.eigh(shared @ shared.T)
+    languages = tuple(sorted({lang for lang, _ in rows}))
+    column = np.full(BUCKETS, -1, np.int32)
+    if not languages:
+        return Model((), column, np.zeros((0, 0), np.float32))
+    of: dict[str, list[np.ndarray]] = {}
+    for lang, grams in rows:
+        of.setdefault(lang, []).append(grams)
+    each = max(1, min(landmarks, MOST_LANDMARKS // len(languages)))
+    marks = [grams for lang in languages for grams in of[lang][:each]]
+    values, vectors = np.linalg.eigh(kernel(marks, marks))
     whiten = vectors / np.sqrt(np.maximum(values, 1e-6)) @ vectors.T
-    features = kernel @ whiten
+    features = kernel(marks, [grams for _, grams in rows]) @ whiten
     targets = np.array([[1.0 if lang == other else -1.0 for other in languages] for lang, _ in rows])
-    solved = np.linalg.solve(features.T @ features + ridge * np.eye(len(marks)), features.T @ targets)
-    weights = np.zeros((BUCKETS, len(languages)), np.float32)
-    weights[used] = shared.T @ (whiten @ solved)
-    return Model(languages, weights)
+    solved = whiten @ np.linalg.solve(features.T @ features + ridge * np.eye(len(marks)), features.T @ targets)
+    used = np.unique(np.concatenate(marks))
+    column[used] = np.arange(len(used), dtype=np.int32)
+    weights = np.zeros((len(used), len(languages)))
+    for mark, share in zip(marks, solved):
+        weights[column[mark]] += share / np.sqrt(len(mark))
+    return Model(languages, column, weights.astype(np.float32))
 
 
 def grams_column(text: Column) -> Column:
@@ -109,26 +149,32 @@ def grams_column(text: Column) -> Column:
     return grams(text)
 
 
-def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
+def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE, most_grams: int = SAMPLE_GRAMS) -> Model:
     """Learn from (doc_id, text, lang); rows with a null id, text or lang teach nothing."""
     usable = labelled.where("doc_id is not null and text is not null and lang is not null")
-    sizes = usable.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()
-    if len(sizes) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    sizes = usable.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("ids"), F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
+    if not sizes:
+        return fitted([])
+    each = max(1, min(per_language, SAMPLE_ROWS // len(sizes)))
     low = F.lit(False)
     for row in sizes:
-        low = low | ((F.col("lang") == row["lang"]) & among_least(F.xxhash64("doc_id"), per_language, row["count"]))
+        low = low | ((F.col("lang") == row["lang"]) & among_least(F.xxhash64("doc_id"), each, row["ids"]))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = usable.where(low).select("doc_id", "lang").withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_language)
-    wanted = usable.join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id", "left_semi")  # at most per_language * MAX_LANGUAGES
-    rows = wanted.select("doc_id", "lang", grams_column(F.col("text")).alias("grams")).collect()
-    taken: dict[str, int] = {}
-    samples = []
-    for row in sorted(rows, key=lambda r: (r["lang"], r["doc_id"], r["grams"])):
-        taken[row["lang"]] = taken.get(row["lang"], 0) + 1
-        if taken[row["lang"]] <= per_language:
-            samples.append((row["lang"], np.frombuffer(row["grams"], np.int32)))
-    return fitted(samples)
+    ids = usable.where(low).select("doc_id", "lang").distinct()
+    chosen = ids.withColumn("place", F.row_number().over(order)).where(F.col("place") <= each)
+    texts = usable.join(F.broadcast(chosen), ["doc_id", "lang"])  # at most SAMPLE_ROWS ids, or one a language
+    one = texts.groupBy("lang", "place").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("least"))
+    stored = cut(one.select("lang", "place", grams_column(F.col("least.text")).alias("grams")), "language-sample")
+    # Whole places are taken, so that every language keeps its share.
+    by_place = stored.groupBy("place").agg(F.sum(F.octet_length("grams") / 4).alias("n")).orderBy("place").collect()  # at most per_language
+    last, total = 0, 0
+    for row in by_place:
+        total += row["n"]
+        if last and total > most_grams:
+            break
+        last = row["place"]
+    rows = stored.where(F.col("place") <= last).orderBy("place", "lang").collect()
+    return fitted([(r["lang"], np.frombuffer(r["grams"], np.int32)) for r in rows])
 
 
 def predict(model: Model, text: Column, spark) -> Column:
@@ -137,7 +183,7 @@ def predict(model: Model, text: Column, spark) -> Column:
 
     @F.arrow_udf("struct<lang_pred:string,score:double>")
     def scored(texts: pa.Array) -> pa.Array:
-        found = [shared.value.predict(t.as_py()) for t in texts]
+        found = shared.value.predict(texts.to_pylist())
         return pa.StructArray.from_arrays(
             [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())], ["lang_pred", "score"])
 

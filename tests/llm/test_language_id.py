@@ -35,6 +35,79 @@ def test_long_texts_are_read_whole(monkeypatch):
     assert np.array_equal(whole, language_id.present(text))
 
 
+def plain_grams(text):
+    """The n-grams of a text, each as its bucket by the plain form of the rolling hash."""
+    out, mask = set(), (1 << 64) - 1
+    low = text.lower()
+    for n in range(1, 5):
+        for i in range(len(low) - n + 1):
+            h = 0
+            for c in low[i:i + n]:
+                h = (h * 0x9E3779B97F4A7C15 + ord(c) + 1) & mask
+            out.add((((h ^ h >> 29) * 0xBF58476D1CE4E5B9) & mask) >> 64 - language_id.BUCKET_BITS)
+    return out
+
+
+def test_kernel_map_and_ridge_against_plain_forms():
+    """Kernel by sets, Nystroem map by landmarks, one ridge regression a language, and scores text by text."""
+    samples = [(lang, text) for _, text, lang in corpus(60) if lang]
+    model = language_id.fitted([(lang, language_id.present(text)) for lang, text in samples], landmarks=5)
+    sets = [(lang, plain_grams(text)) for lang, text in samples]
+    kernel = lambda a, b: len(a & b) / (len(a) * len(b)) ** 0.5
+    languages = sorted({lang for lang, _ in sets})
+    marks = [g for lang in languages for g in [g for other, g in sets if other == lang][:5]]
+    square = np.array([[kernel(a, b) for b in marks] for a in marks])
+    values, vectors = np.linalg.eigh(square)
+    whiten = vectors @ np.diag(np.maximum(values, 1e-6) ** -0.5) @ vectors.T
+    features = np.array([[kernel(g, m) for m in marks] for _, g in sets]) @ whiten
+    solved = []
+    for lang in languages:
+        target = np.array([1.0 if other == lang else -1.0 for other, _ in sets])
+        solved.append(np.linalg.inv(features.T @ features + language_id.RIDGE * np.eye(len(marks))) @ features.T @ target)
+    texts = ["the er on", "le que ment", "x", "ung sch " * 400] + [text for _, text in samples[:7]]
+    got = model.values([language_id.present(t) for t in texts])
+    for row, text in zip(got, texts):
+        mapped = np.array([kernel(plain_grams(text), m) for m in marks]) @ whiten
+        assert np.allclose(row, [mapped @ w for w in solved], atol=2e-3)
+
+
+def test_tiles_do_not_matter(monkeypatch):
+    samples = [(lang, language_id.present(text)) for _, text, lang in corpus(60) if lang]
+    model = language_id.fitted(samples)
+    texts = [text for _, text, _ in corpus(40)] + [None, "", "12"]
+    whole = model.predict(texts)
+    monkeypatch.setattr(language_id, "TILE", 1)
+    monkeypatch.setattr(language_id, "AT_ONCE", 7)
+    assert [(a, round(b, 4)) for a, b in model.predict(texts)] == [(a, round(b, 4)) for a, b in whole]
+
+
+def test_three_hundred_languages(spark):
+    rng = random.Random(8)
+    letters = [chr(0x4E00 + i) for i in range(3000)]
+    rows = []
+    for k in range(300):
+        own = letters[k * 10:k * 10 + 10]
+        rows += [(k * 10 + i, " ".join("".join(rng.choice(own) for _ in range(4)) for _ in range(12)), f"l{k:03}") for i in range(6)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = language_id.op4_language_id(frame).join(frame, "doc_id").where("held_out")
+    learnt = frame.where(~language_id.held_out(F.col("doc_id"), 4, 2)).select("lang").distinct()
+    got = got.join(learnt, "lang", "left_semi")
+    assert got.count() > 300 and got.where("lang <> lang_pred").count() == 0
+
+
+def test_one_id_on_many_rows(spark):
+    """An id on 200,000 rows teaches as one row, and the other ids of the language still teach."""
+    frame = spark.createDataFrame(corpus(), "doc_id long, text string, lang string")
+    many = spark.range(200_000).select(F.lit(1).cast("long").alias("doc_id"), F.concat(F.lit("the er "), F.col("id").cast("string")).alias("text"), F.lit("aa").alias("lang"))
+    got = language_id.op4_language_id(frame.unionByName(many)).where("doc_id <> 1").join(frame, "doc_id").where("held_out and lang is not null")
+    assert got.where("lang <> lang_pred").count() == 0
+
+
+def test_bound_on_the_sample(spark):
+    frame = spark.createDataFrame(corpus(), "doc_id long, text string, lang string")
+    assert language_id.fit(frame, most_grams=1).languages == ("aa", "bb", "cc")
+
+
 def test_held_out_accuracy(spark):
     rows = corpus()
     frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
