@@ -5,12 +5,13 @@ half of sum_f ((sum_i v_if x_i)^2 - sum_i v_if^2 x_i^2), so a text with n featur
 times the rank. The score is its logistic.
 
 Features are computed on the executors, whole texts each; training takes the features of at
-most TRAIN_ROWS labelled rows (those with the least hashes of their ids) to the driver, a
-documented bound that doesn't move with the table, and runs mini-batch Adam there.
+most TRAIN_ROWS labelled rows (those with the least hashes of their ids, one of each id) and
+TRAIN_FEATURES words of them to the driver, documented bounds that don't move with the table (64 MB),
+and runs mini-batch Adam there.
 
 Defined results: a null text counts as an empty one and is scored by its statistics; with no
 labels the score is 0.5; of several labels of one id the least counts (a document that
-anyone marked as bad is bad); null ids and null labels teach nothing; a null or missing
+anyone marked as bad is bad); of several rows of one id the one of least hash teaches; null ids and null labels teach nothing; a null or missing
 length metadata value is taken from the text; repeated rows are scored one by one; an empty
 table gives an empty result; other columns are not read.
 """
@@ -26,11 +27,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tallywick.llm.common import among_least
 from tallywick.llm.language_id import held_out
+from tallywick.session import cut
 
 WORD_BITS = 14
 WORDS = 1 << WORD_BITS
 RANK = 8
 TRAIN_ROWS = 4000
+TRAIN_FEATURES = 8_000_000
 EPOCHS = 20
 BATCH = 128
 RATE = 0.02
@@ -156,7 +159,7 @@ def _length(df: DataFrame) -> Column:
     return F.col("n_chars").cast("bigint") if "n_chars" in df.columns else F.lit(None).cast("bigint")
 
 
-def fit(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Machine:
+def fit(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, most_features: int = TRAIN_FEATURES) -> Machine:
     """Learn from the labels (doc_id, quality) of at most `rows` documents."""
     known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     usable = known.join(documents.select("doc_id").distinct(), "doc_id", "left_semi")
@@ -169,8 +172,18 @@ def fit(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Mach
         return pa.StructArray.from_arrays([pa.array([m[k].tobytes() for m in made], pa.binary()) for k in range(3)], ["ids", "x", "stats"])
 
     wanted = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), _length(documents).alias("n"))
-    found = wanted.join(F.broadcast(chosen), "doc_id").select("doc_id", "quality", computed("text", "n").alias("f")).collect()
-    found = sorted({r["doc_id"]: r for r in sorted(found, key=lambda r: r["f"]["stats"])}.values(), key=lambda r: r["doc_id"])
+    texts = wanted.join(F.broadcast(chosen), "doc_id")  # at most `rows` ids
+    one = texts.groupBy("doc_id", "quality").agg(F.min(F.struct(F.xxhash64("text", "n").alias("hash"), "text", "n")).alias("least"))
+    made = one.select("doc_id", "quality", computed("least.text", "least.n").alias("f"))
+    stored = cut(made.withColumn("size", F.octet_length("f.ids") / 4), "quality-sample")
+    sizes = stored.select("size", F.xxhash64("doc_id").alias("hash")).orderBy("hash").collect()  # at most `rows`
+    last, total = None, 0
+    for r in sizes:
+        total += r["size"]
+        if last is not None and total > most_features:
+            break
+        last = r["hash"]
+    found = stored.where(F.xxhash64("doc_id") <= last).orderBy("doc_id").collect() if sizes else []
     made = [(np.frombuffer(r["f"]["ids"], np.int32), np.frombuffer(r["f"]["x"], np.float32), np.frombuffer(r["f"]["stats"], np.float32)) for r in found]
     return trained(made, np.array([1.0 if r["quality"] == 1 else 0.0 for r in found], np.float32))
 

@@ -68,3 +68,25 @@ def test_bound_on_training_rows(spark):
     docs, labels = frames(spark)
     machine = quality_model.fit(docs, labels, rows=20)
     assert np.isfinite(machine.factors).all()
+    assert np.isfinite(quality_model.fit(docs, labels, most_features=1).factors).all()
+
+
+def test_one_id_on_many_rows(spark):
+    """An id on 200,000 rows teaches as one row."""
+    docs, labels = frames(spark)
+    many = spark.range(200_000).select(F.lit(0).cast("long").alias("doc_id"), F.lit("copy").alias("text"), F.col("id").alias("n_chars"))
+    got = quality_model.op5_quality_model(docs.where("doc_id > 0").unionByName(many), labels).where("doc_id > 0").join(labels, "doc_id").where("held_out")
+    assert got.where("quality <> predicted").count() <= 0.02 * got.count()
+
+
+def test_training_against_a_plain_gradient():
+    """One step of the first batch moves every weight against the gradient of the loss, found by differences."""
+    rng = np.random.default_rng(2)
+    rows = [(np.sort(rng.choice(quality_model.WORDS, 6, replace=False)).astype(np.int32), rng.random(6).astype(np.float32), rng.normal(size=quality_model.STATISTICS).astype(np.float32)) for _ in range(40)]
+    labels = (rng.random(40) < 0.5).astype(np.float32)
+    before = lambda m: float(np.mean([-np.log(m.score(*r) if y else 1 - m.score(*r)) for r, y in zip(rows, labels)]))
+    untrained = quality_model.Machine(0.0, np.zeros(quality_model.WORDS + quality_model.STATISTICS, np.float32), np.zeros((quality_model.WORDS + quality_model.STATISTICS, quality_model.RANK), np.float32),
+                                      np.mean([r[2] for r in rows], axis=0), np.std([r[2] for r in rows], axis=0) + 1e-3)
+    machine = quality_model.trained(rows, labels)
+    assert before(machine) < 0.5 * before(untrained)
+    assert np.mean([(machine.score(*r) >= 0.5) == (y == 1) for r, y in zip(rows, labels)]) == 1.0
