@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tallywick.session import cut
+
+FILTER_WORDS = 1 << 20  # 64-bit words of a filter, at most
 LEAST_TOTAL = 10_000_000  # the total of a prefix that was not counted
 
 
@@ -26,11 +29,73 @@ def ngrams(tokens: Column, n: int = 5) -> Column:
     return F.flatten(F.array(*[of(k) for k in range(1, n + 1)]))
 
 
+def _bits(key: Column) -> Column:
+    """Three bits of a 64-bit word."""
+    one = lambda shift: F.call_function("shiftleft", F.lit(1).cast("bigint"), F.shiftright(key, shift).bitwiseAND(F.lit(63)).cast("int"))
+    return one(40).bitwiseOR(one(46)).bitwiseOR(one(52))
+
+
+def blocked_filter(keys: DataFrame, most_words: int = FILTER_WORDS) -> tuple[DataFrame, int]:
+    """A blocked Bloom filter of the 64-bit column `key`: (block, bits), each block one 64-bit word, and the number of blocks.
+
+    Four keys a block, until there would be more than `most_words` blocks (16 MB): beyond that the
+    filter gets fuller and lets more through, but never holds a key back.
+    """
+    n_words = 64
+    n_keys = keys.count()
+    while n_words < most_words and n_words * 4 < n_keys:
+        n_words *= 2
+    return keys.groupBy(_block(F.col("key"), n_words).alias("block")).agg(F.bit_or(_bits(F.col("key"))).alias("bits")), n_words
+
+
+def _block(key: Column, n_words: int) -> Column:
+    return key.bitwiseAND(F.lit(n_words - 1)).cast("int")
+
+
+def passing(rows: DataFrame, key: str, filled: DataFrame, n_words: int) -> DataFrame:
+    """The rows whose `key` the filter may hold; the filter is sent to every task."""
+    blocks = filled.select(F.col("block").alias(f"{key}_block"), F.col("bits").alias(f"{key}_bits"))
+    marked = _bits(F.col(key))
+    met = rows.withColumn(f"{key}_block", _block(F.col(key), n_words)).join(F.broadcast(blocks), f"{key}_block")  # at most FILTER_WORDS rows
+    return met.where(F.col(f"{key}_bits").bitwiseAND(marked) == marked).select(*rows.columns)
+
+
+def dealt(texts: DataFrame) -> DataFrame:
+    """Over as many tasks as the session has shuffle partitions, if a small file would leave most of them idle."""
+    wanted = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return texts.repartition(wanted) if texts.rdd.getNumPartitions() < wanted else texts
+
+
 def ngram_counts(texts: DataFrame, n: int = 5, min_count: int = 3, drop_empty: bool = True) -> DataFrame:
-    """(phrase, cnt) of phrases that occur `min_count` times or more; only the phrase passes the explode."""
-    tokens = texts.where("text is not null").select(words(normalised(F.col("text")), drop_empty).alias("tokens"))
-    phrases = tokens.select(F.explode(ngrams(F.col("tokens"), n)).alias("phrase"))
-    return phrases.groupBy("phrase").agg(F.count(F.lit(1)).alias("cnt")).where(F.col("cnt") >= min_count)
+    """(phrase, cnt) of phrases of one to n words that occur `min_count` times or more.
+
+    A phrase that occurs so often has only parts that do. So the phrases of one length are counted
+    before those of the next, of which only those are written out whose first and last words but
+    one pass a filter of the frequent shorter ones; nearly all phrases of a corpus occur once and
+    are never shuffled. What the filter lets through wrongly is counted and dropped like any other. Equal phrases of a
+    task are added up before the shuffle.
+    """
+    tokens = dealt(texts.where("text is not null")).select(words(normalised(F.col("text")), drop_empty).alias("tokens"))
+    tokens = cut(tokens.where("size(tokens) > 0"), "tokens")
+    levels, shorter = [], None
+    key_at = lambda i, size: F.xxhash64(*[F.get("tokens", i + k) for k in range(size)])
+    for size in range(1, n + 1):
+        starts = F.slice("tokens", 1, F.greatest(F.size("tokens") - (size - 1), F.lit(0)))
+        phrase = lambda i: F.array_join(F.slice("tokens", i + 1, size), " ")  # noqa: B023, E731
+        if shorter is None:
+            found = tokens.select(F.explode("tokens").alias("phrase"))
+        else:
+            made = F.transform(starts, lambda _, i: F.struct(phrase(i).alias("phrase"), key_at(i, size - 1).alias("first"), key_at(i + 1, size - 1).alias("second")))  # noqa: B023
+            found = passing(passing(tokens.select(F.inline(made)), "first", *shorter), "second", *shorter)
+        counted = cut(found.groupBy("phrase").agg(F.count(F.lit(1)).alias("cnt")).where(F.col("cnt") >= min_count), f"phrases-{size}")
+        levels.append(counted)
+        if size < n:
+            parts = F.split("phrase", " ", -1)
+            shorter = blocked_filter(counted.select(F.xxhash64(*[F.get(parts, k) for k in range(size)]).alias("key")))
+    out = levels[0]
+    for level in levels[1:]:
+        out = out.unionByName(level)
+    return out
 
 
 def split_last(phrase: Column) -> tuple[Column, Column]:

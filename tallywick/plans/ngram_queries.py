@@ -9,7 +9,7 @@ from tallywick.plans.registry import query
 
 _COUNTS = """with w as (select list_filter(string_split_regex(lower(regexp_replace(trim(text), '[^A-Za-z]', ' ', 'g')), ' +'), lambda x: x <> '') w from ngram_text where text is not null),
 g as (select unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i : i + n - 1], ' '))) phrase from w, range(1, 6) t(n) where len(w) >= n),
-c as (select phrase, count(*) cnt from g group by 1 having count(*) > 2)
+c as materialized (select phrase, count(*) cnt from g group by 1 having count(*) > 2)
 """
 _NEXT = _COUNTS + """, p as (select array_to_string(string_split(phrase, ' ')[:-2], ' ') prefix, string_split(phrase, ' ')[-1] word, cnt from c where contains(phrase, ' ')),
 r as (select *, row_number() over (partition by prefix order by cnt desc, word) place from p),
