@@ -28,17 +28,39 @@ def _cabs(frame):
 
 
 def _matched(t):
+    """The events as a log of files that ends with one of a later day, so that the watermark passes all of them."""
     t.spark.conf.set("spark.sql.streaming.stateStore.providerClass", matching.ROCKSDB)
-    cabs = _cabs(_events(t))
+    log = new_path(t.spark, "cab-log")
+    _cabs(t.events).write.parquet(log)
+    rows = t.spark.read.schema(matching.EVENT).parquet(log)
+    closing = rows.agg(F.max("ts").alias("last")).select(
+        F.lit(-1).cast("long").alias("seq"), (F.coalesce("last", F.current_timestamp()) + F.expr("interval 1 day")).alias("ts"), F.lit(-1).cast("long").alias("block_id"),
+        *[F.lit("").alias(c) for c in ("driver_id", "rider_id", "type", "status")], F.lit(0).alias("longitude"), F.lit(0).alias("latitude"))
+    closing.write.mode("append").parquet(log)
+    cabs = matching.read_stream(t.spark, "parquet", matching.EVENT, log)
     moved = F.col("type") == "DRIVER_LOCATION"
     path = new_path(t.spark, "matches")
     matching.write_stream(matching.match_drivers(cabs.where(moved), cabs.where(~moved)), path, new_path(t.spark, "matches-state")).awaitTermination()
     return t.spark.read.schema(matching.MATCH).parquet(path)
 
 
-@query("t03_matches", "T01 T02 T03 T04 J12 S13 S14 U03 F04")
+@query("t03_matches", "T01 T02 T03 T04 J12 S13 S14 U03 F04", views=("cab_events",), sql="""
+    with recursive e as (
+      select *, driver_id::varchar d, row_number() over (partition by block_id order by ts, seq) n from cab_events
+    ), s as (
+      select block_id, 0::bigint n, [{'d': '', 'x': 0, 'y': 0}][:0] free, null::bigint seq, null::varchar rider_id, null::varchar driver_id from (select distinct block_id from e)
+      union all
+      select block_id, n, case when kind = 'RIDE_REQUEST' then list_filter(free, lambda f: f.d is distinct from taken)
+          when kind in ('DRIVER_LOCATION', 'RIDE_COMPLETE') or kind = 'ENTERING_BLOCK' and status = 'AVAILABLE' then list_append(list_filter(free, lambda f: f.d <> d), {'d': d, 'x': x, 'y': y})
+          when kind = 'LEAVING_BLOCK' then list_filter(free, lambda f: f.d <> d) else free end,
+        case when kind = 'RIDE_REQUEST' then seq end, rider_id, case when kind = 'RIDE_REQUEST' then taken end
+      from (
+        select e.block_id, e.n, e.type kind, e.status, e.d, e.longitude x, e.latitude y, e.seq, e.rider_id::varchar rider_id, s.free,
+          list_sort(list_transform(s.free, lambda f: {'away': (f.x - e.longitude)*(f.x - e.longitude) + (f.y - e.latitude)*(f.y - e.latitude), 'd': f.d}))[1].d taken
+        from s join e on e.block_id = s.block_id and e.n = s.n + 1
+      )
+    ) select block_id, seq, rider_id, driver_id from s where seq is not null""")
 def matches(t):
-    """Which driver each request got; SQL has no form for it, a plain loop checks it in the tests."""
     return _matched(t)
 
 

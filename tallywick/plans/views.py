@@ -123,6 +123,7 @@ def check_sql(sql: str, *views: str) -> str:
     ctes = ", ".join(f"{v} as ({VIEWS[v].strip().format(**CHECK_FORMS, **{r: r for r in _reads(VIEWS[v])})})" for v in views)
     if not ctes:
         return sql
-    if sql.lower().startswith("with "):
-        return f"with {ctes}, {sql[5:]}"
+    for start in ("with recursive ", "with "):
+        if sql.lower().startswith(start):
+            return f"{start}{ctes}, {sql[len(start):]}"
     return f"with {ctes} {sql}"
