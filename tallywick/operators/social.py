@@ -53,6 +53,29 @@ def home_pages(posts: DataFrame, page_size: int = 100) -> DataFrame:
     return pages.select("user_id", "page", F.concat(F.lit("["), F.array_join("items", ","), F.lit("]")).alias("document"))
 
 
+def timeline_documents(info: DataFrame, follows: DataFrame, posts: DataFrame, n: int = 30, page_size: int = 100) -> DataFrame:
+    """(id, page, document): each user's timeline in pages of bounded size, all users in one job.
+
+    The first page has the user's name, profile, first followers and the latest n posts of those the
+    user follows, the oldest first; the others go on with the followers, in order of name and
+    profile, `page_size` a page. Followers without a profile are left out; a user without
+    followers or posts has empty lists.
+    """
+    person = F.to_json(F.struct("name", "profile"))
+    known = follows.join(info.select(F.col("id").alias("follower"), "name", "profile"), "follower").join(info.select(F.col("id").alias("followee")), "followee", "left_semi")
+    named = known.select(F.col("followee").alias("id"), "name", "profile", "follower")
+    listed = paged(named, ["id"], ["name", "profile", "follower"], person, page_size)
+    listed = listed.select("id", "page", F.array_join("items", ",").alias("followers"))
+    recent = timelines(follows, posts, n).join(posts.select("post_id", "post"), "post_id")
+    last = recent.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("place", F.to_json(F.struct("post_id", "post")).alias("item")))).alias("items"))  # at most n
+    shown = last.select("id", F.array_join(F.transform("items", lambda x: x["item"]), ",").alias("posts"))
+    first = info.select("id", F.lit(0).cast("long").alias("page"), F.to_json(F.struct("name", "profile")).alias("head")).join(shown, "id", "left")
+    both = first.join(listed, ["id", "page"], "full")
+    people = F.concat(F.lit('"followers":['), F.coalesce("followers", F.lit("")), F.lit("]"))
+    opening = F.concat(F.regexp_replace("head", "}$", ""), F.when(F.col("head") == "{}", "").otherwise(","), people, F.lit(',"posts":['), F.coalesce("posts", F.lit("")), F.lit("]}"))
+    return both.select("id", "page", F.when(F.col("head").isNotNull(), opening).otherwise(F.concat(F.lit("{"), people, F.lit("}"))).alias("document"))
+
+
 def returned(json: Column) -> Column:
     """The callback form in which results are sent."""
     return F.concat(F.lit("returnRes("), json, F.lit(")"))

@@ -58,7 +58,7 @@ def pagecounts(t):
     path = new_path(t.spark, "pagecounts")
     name = F.concat(F.lit("pagecounts-"), F.date_format("dt", "yyyyMMdd"), F.lit("-"), F.lpad(F.col("hr").cast("string"), 2, "0"), F.lit("0000"))
     line = F.concat_ws(" ", "project", "title", F.col("views").cast("string"))
-    t.pagecounts.select(line.alias("value"), name.alias("file")).repartition("file").write.partitionBy("file").text(path)
+    t.pagecounts.select(line.alias("value"), name.alias("file")).repartitionByRange("file", "value").write.partitionBy("file").text(path)
     return src.read_pagecounts(t.spark, path).groupBy("date", "hour", "project").agg(F.count(F.lit(1)).alias("n"), F.sum("views").alias("views"))
 
 
@@ -104,15 +104,12 @@ def stored_q1(t):
 
 @query("s05_clustered", "S05", views=("lineorder", "ssb_customer"), sql="select c_nation, count(*) n, cast(sum(lo_revenue) as bigint) revenue from lineorder join ssb_customer on lo_custkey = c_custkey group by 1")
 def clustered(t):
-    def stored(df, name, bucket):
-        path = new_path(t.spark, name)
-        return src.write_clustered(df, path.rsplit("/", 1)[1].replace("-", "_"), path, bucket, bucket, 8)
-
-    fact, customer = stored(t.lineorder, "lineorder", "lo_custkey"), stored(t.ssb_customer, "customer", "c_custkey")
+    fact = src.write_clustered(t.lineorder, "lineorder", ["lo_custkey"], ["lo_custkey"])
+    customer = src.write_clustered(t.ssb_customer, "customer", ["c_custkey"], ["c_custkey"], src.n_buckets(fact))
     return fact.join(customer, F.col("lo_custkey") == F.col("c_custkey")).groupBy("c_nation").agg(F.count(F.lit(1)).alias("n"), F.sum("lo_revenue").alias("revenue"))
 
 
-_TABLES = ("customer", "events", "lineitem", "nation", "orders", "part", "region", "supplier")
+_TABLES = ("benchmark", "conversations", "customer", "documents", "embeddings", "events", "labels", "lineitem", "nation", "orders", "pages", "part", "region", "supplier")
 
 
 @query("s18_table_counts", "S18 A03", sql=" union all ".join(f"select '{n}' as table, count(*) n from {n}" for n in _TABLES))
@@ -120,20 +117,57 @@ def table_counts(t):
     return src.count_tables({n: getattr(t, n) for n in _TABLES})
 
 
-@query("s19_table_space", "S19 A19")
+@query("s19_table_space", "S19")
 def table_space(t):
     return src.table_space(t.spark, {n: f"{t.folder}/{n}.parquet" for n in _TABLES})
 
 
+_PART_COLUMNS = ("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")
+
+
+def _cents(part):
+    """The price in whole cents: the engines write doubles as text in different ways."""
+    return part.withColumn("p_retailprice", F.round(F.col("p_retailprice") * 100).cast("bigint"))
+
+
 @query("s20_column_space", "S20", sql=" union all ".join(
-    f"select '{c}' as column, cast(sum(strlen(cast({c} as varchar))) as bigint) bytes from part" for c in ("p_partkey", "p_name", "p_brand", "p_type", "p_size")))
+    f"select '{c}' as column, cast(sum(strlen(cast({'cast(round(p_retailprice*100) as bigint)' if c == 'p_retailprice' else c} as varchar))) as bigint) bytes from part" for c in _PART_COLUMNS))
 def column_space(t):
-    return src.column_space(t.part, ["p_partkey", "p_name", "p_brand", "p_type", "p_size"])
+    return src.column_space(_cents(t.part), _PART_COLUMNS)
+
+
+@query("a19_most_per_group", "A19", sql="select p_brand, max(p_size) most, max(p_name) last_name from part group by p_brand")
+def most_per_group(t):
+    return t.part.groupBy("p_brand").agg(F.max("p_size").alias("most"), F.max("p_name").alias("last_name"))
+
+
+_BLOCK = 4096
+_ANALYSED = {"l_orderkey": 8, "l_partkey": 8, "l_suppkey": 8, "l_linenumber": 4, "l_quantity": 8, "l_returnflag": 0, "l_linestatus": 0, "l_shipdate": 8}
+_ORDER = ["l_orderkey", "l_linenumber", *[c for c in _ANALYSED if c not in ("l_orderkey", "l_linenumber")]]  # rows that tie are alike
+
+
+def _encodings(column, width):
+    """One column's sizes by block, then in all."""
+    size = str(width) if width else f"strlen({column}) + 4"
+    delta = f"max(abs({column} - lag_{column}))" if column in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber") else "null"
+    bits = lambda n: f"greatest(ceil(log2({n})), 1)"
+    return f"""select '{column}' as column, sum(n)::bigint n_rows, sum(nulls)::bigint n_null, sum(different)::bigint n_different, sum(runs)::bigint n_runs, sum(plain)::bigint plain_bytes,
+        sum(entries + ceil(n*{bits("different::double")}/8))::bigint dictionary_bytes, sum(heads + 4*runs)::bigint run_bytes, sum(case when step is not null then {width} + ceil(n*({bits("step + 1")} + 1)/8) end)::bigint delta_bytes
+      from (select block, count(*) n, count(*) filter ({column} is null) nulls, count(distinct {column}) + max(({column} is null)::int) different, count(*) filter (new_{column}) runs,
+          coalesce(sum({size}) filter ({column} is not null), 0) plain, coalesce(sum({size}) filter (new_{column} and {column} is not null), 0) heads, {"0 + coalesce(" + delta + ", 0)" if delta != "null" else "null"} step
+        from r group by block)
+      join (select block, coalesce(sum({size}), 0) entries from (select distinct block, {column} from r where {column} is not null) group by block) using (block)"""
 
 
-@query("s21_compression_advice", "S21")
+@query("s21_compression_advice", "S21", sql=f"""
+    with o as (select *, (row_number() over (order by {", ".join(_ORDER)}) - 1) // {_BLOCK} block from lineitem),
+    r as (select block, {", ".join(f"{c}, lag({c}) over w lag_{c}, row_number() over w = 1 or {c} is distinct from lag({c}) over w new_{c}" for c in _ANALYSED)}
+      from o window w as (partition by block order by {", ".join(_ORDER)})),
+    c as ({" union all ".join(_encodings(c, w) for c, w in _ANALYSED.items())}),
+    l as (select *, least(plain_bytes, dictionary_bytes, run_bytes, coalesce(delta_bytes, plain_bytes)) low from c)
+    select * exclude (low), case when plain_bytes = low then 'plain' when dictionary_bytes = low then 'dictionary' when run_bytes = low then 'run length' else 'delta' end advice from l""")
 def advice(t):
-    return src.analyze_compression(t.lineitem)
+    return src.analyze_compression(t.lineitem.select(*_ANALYSED), _ORDER, _BLOCK)
 
 
 @query("s23_constraints", "S23 P14", sql="""

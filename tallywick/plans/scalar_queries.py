@@ -17,7 +17,7 @@ _TURN = "'ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz', 'NOPQRSTUVWXYZA
       replace(source || '\' || lang, '\', '\\') doubled from documents""")
 def text_scalars(t):
     text = F.col("text")
-    return t.documents.select("doc_id", F.md5(tweets.rot13(text)).alias("turned"), tweets.escape(text).alias("escaped"), tweets.unescape(tweets.escape(text)).alias("restored"),
+    return t.documents.select("doc_id", F.md5(fn.rot13(text)).alias("turned"), tweets.escape(text).alias("escaped"), tweets.unescape(tweets.escape(text)).alias("restored"),
                               fn.doubled_backslashes(F.concat("source", F.lit("\\"), "lang")).alias("doubled"))
 
 
@@ -50,6 +50,11 @@ def file_names(t):
     return rows.groupBy("date", "hour", "line").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("f02_decoded_messages", "F02 X23", views=("messages",))
+@query("f02_decoded_messages", "F02 X23", views=("messages",), sql="""
+    with m as (
+      -- The last hundred digits of a key are the divisor's own, so the quotient is that of the rest and a hundred noughts, and one.
+      select msg_id, message, (floor(left(key, length(key) - 100)::decimal(10,0) * 1.20889789338507272917896585)::bigint + 1) % 25 + 1 z, floor(sqrt(length(message)))::bigint n from messages
+    ), c as (select msg_id, z, p // n + p % n diagonal, p % n col, ascii(message[p + 1]) - z code from (select *, unnest(range(n * n)) p from m))
+    select msg_id, coalesce(string_agg(chr((case when code < 65 then code + 26 else code end)::int), '' order by diagonal, col desc), '') message from m left join c using (msg_id) group by msg_id""")
 def decoded(t):
     return fn.decode_messages(t.messages)

@@ -34,7 +34,20 @@ def profiles(t):
     return ops.profiles(asked, t.userinfo).select("id", ops.returned(F.to_json(F.struct("name", "profile"))).alias("answer"))
 
 
-@query("w08_timelines", "W08 J09 U02 C10", views=("follows", "posts"), sql="""
+@query("c10_timelines", "C10 J07 J09 W08 U02 O09 X27", views=("follows", "userinfo", "posts"), sql="""
+    with f as (select followee id, name, profile, row_number() over (partition by followee order by name, profile, follower) n from follows join userinfo on follower = id),
+    l as (select id, (n - 1) // 20 page, string_agg('{"name":"' || name || '","profile":"' || profile || '"}', ',' order by n) followers from f group by all),
+    s as (select follower id, post_id, ts, post, row_number() over (partition by follower order by ts desc, post_id desc) k from follows join posts on followee = user_id),
+    p as (select id, string_agg('{"post_id":' || post_id || ',"post":"' || post || '"}', ',' order by ts, post_id) posts from s where k <= 30 group by 1),
+    h as (select id, 0::bigint page, name, profile, posts from userinfo left join p using (id))
+    select id, page, case when name is null then '{"followers":[' || followers || ']}' else '{"name":"' || name || '","profile":"' || profile || '","followers":[' || coalesce(followers, '')
+      || '],"posts":[' || coalesce(posts, '') || ']}' end as document
+    from h full join (select * from l where id in (select id from userinfo)) l using (id, page)""")
+def timeline_documents(t):
+    return ops.timeline_documents(t.userinfo, t.follows, t.posts, 30, 20)
+
+
+@query("w08_timelines", "W08 J09 U02", views=("follows", "posts"), sql="""
     with s as (select follower id, post_id, ts, row_number() over (partition by follower order by ts desc, post_id desc) k from follows join posts on followee = user_id)
     select id, cast(row_number() over (partition by id order by ts, post_id) as int) place, post_id, epoch_us(ts) at_us from s where k <= 30""")
 def timelines(t):

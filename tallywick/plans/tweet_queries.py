@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from tallywick.operators import tweets as ops
 from tallywick.plans.registry import query
+from tallywick.session import new_path
+from tallywick.sources import tables as src
 
 LEXICON = {"and": 1, "of": -1, "is": 2, "was": -2, "that": 3, "with": -3, "this": 2, "are": -1}
 # ROT13, as the list is stored; the last entry is blank.
@@ -118,6 +120,53 @@ def count_range(t):
     return ops.count_range(ops.tweets_per_user(t.tweets), 3, 17)
 
 
+@query("a20_count_ranges", "A20 W02 C08", views=("tweets",), sql=_TWEETS + """,
+    ranges as (select user_id range_id, user_id - user_id % 7 low, user_id + user_id % 11 high from counts union all select -1, 9, 3 union all select -2, -5, -1 union all select -3, null, 4)
+    select range_id, coalesce(sum(n_tweets), 0)::bigint n_tweets from ranges left join counts on user_id between low and high group by range_id""")
+def count_ranges(t):
+    """A range about each user, and three that hold nobody."""
+    counts = ops.tweets_per_user(t.tweets)
+    user = F.col("user_id")
+    asked = counts.select(user.alias("range_id"), (user - user % 7).alias("low"), (user + user % 11).alias("high"))
+    empty = t.spark.createDataFrame([(-1, 9, 3), (-2, -5, -1), (-3, None, 4)], "range_id long, low long, high long")
+    return ops.count_ranges(counts, asked.unionByName(empty))
+
+
+@query("w05_ranked_requests", "W05 P16 C06", views=("tweets",), sql=_TWEETS + f""",
+    requests as (select user_id * 10 + d request_id, user_id, ('2014-04-' || (15 + d)) s, ('2014-04-' || (16 + 2*d)) e, 1 + user_id % 4 n from (select distinct user_id from tweets), range(3) t(d))
+    select * from (select request_id, case when score < 0 then 'negative' else 'positive' end sign,
+      cast(row_number() over (partition by request_id, score < 0 order by abs(score) desc, tweet_id::varchar) as int) place, tweet_id, cast(score as bigint) score
+      from requests join weighted using (user_id) where strftime(created_at, '%Y-%m-%d') between s and e
+      qualify row_number() over (partition by request_id, score < 0 order by abs(score) desc, tweet_id::varchar) <= n)""")
+def ranked_requests(t):
+    """Three windows of days for each user."""
+    d = F.col("d")
+    text = lambda day: F.concat(F.lit("2014-04-"), day.cast("string"))
+    users = t.tweets.select("user_id").distinct().select("user_id", F.explode(F.lit([0, 1, 2])).alias("d"))
+    asked = users.select((F.col("user_id") * 10 + d).alias("request_id"), "user_id", text(15 + d).alias("start"), text(16 + 2 * d).alias("end"), (1 + F.col("user_id") % 4).cast("int").alias("n"))
+    return ops.rank_requests(ops.weighted(scored(t)), asked)
+
+
+_LISTS = """lists as (select distinct lower(unnest(regexp_extract_all(text, '[a-zA-Z0-9]+'))) word from benchmark),
+lexicon as (select word, length(word) % 5 - 2 score from lists), banned as (select word from lists where length(word) % 3 = 0),
+"""
+
+
+@query("s15_word_lists", "S15 J10 J11 F03 X08 C05", views=("tweets",), sql="with " + _LISTS + f"""
+    one as (select tweet_id, min(created_at) created_at, min(text) text from tweets where created_at >= timestamp '{SINCE} 00:00:00' group by 1),
+    parts as (select tweet_id, unnest(regexp_extract_all(text, '[a-zA-Z0-9]+|[^a-zA-Z0-9]+')) w, generate_subscripts(regexp_extract_all(text, '[a-zA-Z0-9]+|[^a-zA-Z0-9]+'), 1) i from one),
+    found as (select p.*, l.score, b.word banned from parts p left join lexicon l on lower(w) = l.word left join banned b on lower(w) = b.word)
+    select tweet_id, coalesce(sum(score), 0)::bigint score,
+      md5(string_agg(case when banned is null then w else w[1] || repeat('*', length(w) - 2) || w[-1] end, '' order by i)) censored_md5 from found group by 1""")
+def word_lists(t):
+    """A lexicon and a banned list of the benchmark's words, written in their stored forms and read back."""
+    words = t.benchmark.select(F.explode(ops.tokens(F.col("text"))).alias("word")).select(F.lower("word").alias("word")).distinct()
+    scores = words.select("word", (F.length("word") % 5 - 2).alias("score"))
+    lexicon = src.read_lexicon(t.spark, src.write_tsv(scores, new_path(t.spark, "lexicon")))
+    banned = src.read_banned(t.spark, src.write_banned(words.where("length(word) % 3 = 0"), new_path(t.spark, "banned")))
+    return ops.scored_by_lists(t.tweets, lexicon, banned, SINCE).select("tweet_id", "score", F.md5("censored_text").alias("censored_md5"))
+
+
 @query("w04_deduplicated", "W04 A22 U04", views=("tweets",), sql="select distinct tweet_id, user_id, created_at::varchar created from tweets")
 def deduplicated(t):
     return ops.dedup_tweets(t.tweets).select("tweet_id", "user_id", F.date_format("created_at", "yyyy-MM-dd HH:mm:ss").alias("created"))

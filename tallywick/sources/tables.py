@@ -4,8 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from tallywick.functions.scalars import rot13
+from tallywick.operators.slices import numbered
+from tallywick.session import cut, new_path
+
+BUCKET_ROWS = 4_000_000  # of a bucket, about
 TWEET = """id_str string, text string, created_at string, user struct<id_str: string, followers_count: string>,
  entities struct<hashtags: array<struct<text: string>>>"""
 
@@ -61,6 +66,36 @@ def flat_tweets(tweets: DataFrame) -> DataFrame:
                          F.col("entities.hashtags.text").alias("tags"))
 
 
+def _last_lines(lines: DataFrame, key: str) -> DataFrame:
+    """Of lines with one key the last in the last file, by name."""
+    place = F.struct("_file", "_start", "_line")
+    rest = [c for c in lines.columns if c not in (key, "_file", "_start", "_line")]
+    return lines.groupBy(key).agg(*[F.max_by(c, place).alias(c) for c in rest])
+
+
+def read_lexicon(spark: SparkSession, path: str) -> DataFrame:
+    """(word, score) of lines `word<tab>score`, any number of them.
+
+    A line with more or fewer fields, or a score that is no whole number, is passed over; of
+    repeated words the last line counts.
+    """
+    lines = spark.read.text(path).select(F.split(F.trim("value"), "\t").alias("f"), F.col("_metadata.file_path").alias("_file"),
+                                         F.col("_metadata.file_block_start").alias("_start"), F.monotonically_increasing_id().alias("_line"))
+    fields = lines.where("size(f) = 2").select(F.col("f")[0].alias("word"), F.trim(F.col("f")[1]).try_cast("long").alias("score"), "_file", "_start", "_line")
+    return _last_lines(fields.where("score is not null"), "word")
+
+
+def read_banned(spark: SparkSession, path: str) -> DataFrame:
+    """(word) of a list stored in ROT13, a word a line; blank lines are passed over."""
+    return spark.read.text(path).select(rot13(F.trim("value")).alias("word")).where("word <> ''").distinct()
+
+
+def write_banned(words: DataFrame, path: str) -> str:
+    """The column `word` in the stored form."""
+    words.select(rot13(F.col("word"))).write.text(path)
+    return path
+
+
 def write_tsv(df: DataFrame, path: str) -> str:
     df.write.option("sep", "\t").csv(path)
     return path
@@ -78,10 +113,43 @@ def write_partitioned(df: DataFrame, path: str, column: str, order: Sequence[str
     return df.sparkSession.read.parquet(path)
 
 
-def write_clustered(df: DataFrame, table: str, path: str, bucket: str, order: str, buckets: int) -> DataFrame:
-    """A table bucketed by one column and sorted by another within buckets; tables bucketed alike join without a shuffle."""
-    df.repartition(buckets, bucket).write.bucketBy(buckets, bucket).sortBy(order).option("path", path).format("parquet").saveAsTable(table)
-    return df.sparkSession.table(table)
+def write_clustered(df: DataFrame, label: str, by: Sequence[str], order: Sequence[str], buckets: int | None = None, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """A table bucketed by `by` and sorted by `order` within files; tables with the same buckets join on them without a shuffle.
+
+    Without `buckets` their number is the power of two that gives each about `bucket_rows` rows, and
+    at least the session's shuffle partitions: below that Spark would rather shuffle both sides of a join.
+    Pass the number of the larger table to make another one fit it. The rows of a key with more than
+    `bucket_rows` rows are written by several tasks, each a file of the key's bucket; all others of
+    a bucket by one.
+    """
+    spark = df.sparkSession
+    if buckets is None:
+        buckets, least = 1, max(df.count() / bucket_rows, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        while buckets < least:
+            buckets *= 2
+    path = new_path(spark, label)
+    heavy = df.groupBy(*by).agg(F.ceil(F.count(F.lit(1)) / bucket_rows).alias("_files")).where("_files > 1")
+    heavy = cut(heavy, "heavy-keys")
+    tasks = heavy.agg(F.sum("_files")).first()[0]
+    dealt = df.repartition(buckets, *by)
+    if tasks:
+        key = F.lit(True)
+        renamed = heavy.withColumnsRenamed({c: f"_of_{c}" for c in by})
+        for c in by:
+            key = key & F.col(c).eqNullSafe(F.col(f"_of_{c}"))
+        file = F.pmod(F.xxhash64(*df.columns), F.col("_files"))
+        spread = df.join(renamed, key).withColumn("_file", file).repartition(int(tasks), *by, "_file").select(*df.columns)
+        dealt = df.join(renamed, key, "left_anti").repartition(buckets, *by).unionByName(spread)
+    table = path.rsplit("/", 1)[1].replace("-", "_")
+    dealt.write.bucketBy(buckets, *by).sortBy(*order).option("path", path).format("parquet").saveAsTable(table)
+    return spark.table(table)
+
+
+def n_buckets(table: DataFrame) -> int:
+    """The buckets of a table that `write_clustered` gave back."""
+    name = table._jdf.queryExecution().analyzed().collectLeaves().head().catalogTable().get().identifier().table()
+    described = {r["col_name"]: r["data_type"] for r in table.sparkSession.sql(f"describe extended {name}").collect()}
+    return int(described["Num Buckets"])
 
 
 def count_tables(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -114,16 +182,66 @@ def column_space(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.agg(*sums).select(_per_column(columns, {"bytes": "bytes"}))
 
 
-def analyze_compression(df: DataFrame, few: float = 0.1) -> DataFrame:
-    """(column, n_different, n_null, mean_bytes, advice) in one pass; dictionaries pay where values repeat."""
-    columns = df.columns
-    sums = []
-    for i, c in enumerate(columns):
-        sums += [F.approx_count_distinct(c).alias(f"n_different_{i}"), F.count_if(F.col(c).isNull()).alias(f"n_null_{i}"),
-                 F.avg(F.octet_length(F.col(c).cast("string"))).alias(f"mean_bytes_{i}"), F.count(F.lit(1)).alias(f"n_{i}")]
-    rows = df.agg(*sums).select(_per_column(columns, {m: m for m in ("n_different", "n_null", "mean_bytes", "n")}))
-    advice = F.when(F.col("n_different") <= few * F.col("n"), "dictionary").otherwise("plain")
-    return rows.select("column", "n_different", "n_null", "mean_bytes", advice.alias("advice"))
+#: Bytes of a value that isn't text, by type; text takes its bytes and four for their number.
+WIDTHS = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "date": 4, "float": 4, "bigint": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8}
+ADVICE = ("plain", "dictionary", "run length", "delta")
+
+
+def _bits(n: Column) -> Column:
+    """Bits that tell n values apart, at least one."""
+    return F.greatest(F.ceil(F.log2(n.cast("double"))), F.lit(1)).cast("long")
+
+
+def _step(value: Column, before: Column) -> Column:
+    """How far apart two whole numbers are; the greatest long if that is no long."""
+    away = F.try_subtract(value, before)
+    known = value.isNotNull() & before.isNotNull()
+    return F.when(known, F.coalesce(F.when(away >= 0, away).otherwise(F.try_subtract(F.lit(0), away)), F.lit((1 << 63) - 1)))
+
+
+def analyze_compression(df: DataFrame, order: Sequence[str], block_rows: int = 65_536) -> DataFrame:
+    """(column, n_rows, n_null, n_different, n_runs, plain_bytes, dictionary_bytes, run_bytes, delta_bytes, advice).
+
+    The rows in `order` (which ends in a unique column) are cut into blocks, as a file's row groups
+    are, by the sliced scan; in each block the different values, the runs of equal values and the
+    greatest step between neighbours are counted exactly, and the sizes of the encodings follow:
+    dictionary = the different values and an index for each row, run length = a value and four bytes for
+    each run, delta = the first value and steps of as many bits as the greatest takes (whole numbers
+    only). n_different and n_runs are sums over the blocks; a null is a value. Columns of other types
+    than WIDTHS and text are left out.
+    """
+    kinds = {c: k for c, k in df.dtypes if k in WIDTHS or k == "string"}
+    rows = numbered(df.select(*dict.fromkeys([*kinds, *order])), [], order, "_seq").withColumn("_block", F.floor((F.col("_seq") - 1) / block_rows))
+    along = Window.partitionBy("_block").orderBy("_seq")
+    whole = {c for c, k in kinds.items() if k in ("tinyint", "smallint", "int", "bigint")}
+    value = {c: F.struct(F.col(c)) for c in kinds}  # a null is a value
+    steps = rows.select("*", *[(F.coalesce(F.lag(value[c]).over(along) != value[c], F.lit(True))).alias(f"_new_{i}") for i, c in enumerate(kinds)],
+                        *[_step(F.col(c).cast("long"), F.lag(c).over(along).cast("long")).alias(f"_step_{i}") for i, c in enumerate(kinds) if c in whole])
+    parts = []
+    for i, c in enumerate(kinds):
+        known = F.when(F.col(c).isNotNull(), size_of(F.col(c), kinds[c])).otherwise(0)
+        parts += [F.count_if(F.col(c).isNull()).alias(f"null_{i}"), F.count_if(f"_new_{i}").alias(f"runs_{i}"), F.sum(known).cast("long").alias(f"plain_{i}"),
+                  F.sum(F.when(F.col(f"_new_{i}"), known).otherwise(0)).cast("long").alias(f"heads_{i}"), F.collect_set(value[c]).alias(f"set_{i}"),
+                  (F.coalesce(F.max(f"_step_{i}"), F.lit(0)) if c in whole else F.lit(None).cast("long")).alias(f"step_{i}")]
+    blocks = steps.groupBy("_block").agg(F.count(F.lit(1)).alias("n"), *parts)  # a set holds at most a block's rows
+    sized = lambda i, c: F.aggregate(f"set_{i}", F.lit(0).cast("long"), lambda total, x: total + F.when(x[c].isNotNull(), size_of(x[c], kinds[c])).otherwise(0))
+    entry = lambda i, c: F.struct(
+        F.lit(c).alias("column"), F.col("n").alias("n_rows"), F.col(f"null_{i}").alias("n_null"), F.size(f"set_{i}").cast("long").alias("n_different"), F.col(f"runs_{i}").alias("n_runs"),
+        F.col(f"plain_{i}").alias("plain_bytes"), (sized(i, c) + F.ceil(F.col("n") * _bits(F.size(f"set_{i}")) / 8)).cast("long").alias("dictionary_bytes"),
+        (F.col(f"heads_{i}") + 4 * F.col(f"runs_{i}")).cast("long").alias("run_bytes"),
+        F.when(F.col(f"step_{i}").isNotNull(), WIDTHS.get(kinds[c], 0) + F.ceil(F.col("n") * (_bits(F.col(f"step_{i}").cast("double") + 1) + 1) / 8)).cast("long").alias("delta_bytes"))
+    cells = blocks.select(F.inline(F.array(*[entry(i, c) for i, c in enumerate(kinds)])))
+    sums = ["n_rows", "n_null", "n_different", "n_runs", "plain_bytes", "dictionary_bytes", "run_bytes", "delta_bytes"]
+    totals = cells.groupBy("column").agg(*[F.sum(c).cast("long").alias(c) for c in sums])
+    least = F.least("plain_bytes", "dictionary_bytes", "run_bytes", "delta_bytes")
+    advice = F.lit(None)
+    for name in reversed(ADVICE):
+        advice = F.when(F.col(f"{name.split()[0]}_bytes") == least, F.lit(name)).otherwise(advice)
+    return totals.withColumn("advice", advice)
+
+
+def size_of(value: Column, kind: str) -> Column:
+    return F.lit(WIDTHS[kind]) if kind in WIDTHS else F.octet_length(value) + 4
 
 
 def check_constraints(df: DataFrame, not_null: Sequence[str], key: Sequence[str]) -> DataFrame:
