@@ -21,6 +21,7 @@ MATCH = "block_id long, seq long, rider_id string, driver_id string"
 TYPES = ("DRIVER_LOCATION", "ENTERING_BLOCK", "LEAVING_BLOCK", "RIDE_REQUEST", "RIDE_COMPLETE")
 SIDE = 10  # of the state's grid cells
 BUCKET_MS = 900_000  # events of a block that wait together
+AT_ONCE = 5000  # matches that are sent on together
 MOST_CELLS = 256  # looked at for a request before all free drivers are
 
 
@@ -142,6 +143,7 @@ class Matcher(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.waiting = handle.getMapState("waiting", "bucket long", "events string")
+        self.first = handle.getValueState("first", "bucket long")
         self.cells = handle.getMapState("cells", "x int, y int", "drivers string")
         self.where = handle.getMapState("where", "driver_id string", "longitude int, latitude int")
         self.box = handle.getValueState("box", "low_x int, high_x int, low_y int, high_y int")
@@ -158,31 +160,58 @@ class Matcher(StatefulProcessor):
             for bucket, events in new.items():
                 if self.waiting.containsKey((bucket,)):
                     events = json.loads(self.waiting.getValue((bucket,))[0]) + events
-                else:
-                    self.handle.registerTimer((bucket + 1) * self.bucket_ms)
                 self.waiting.updateValue((bucket,), (json.dumps(events),))
+            if new:
+                self.wake(min(new))
         yield pd.DataFrame([], columns=["block_id", "seq", "rider_id", "driver_id"])
 
+    def wake(self, bucket: int) -> None:
+        """One timer, at the end of the first bucket that waits."""
+        set_for = self.first.get()[0] if self.first.exists() else None
+        if set_for is not None and set_for <= bucket:
+            return
+        if set_for is not None:
+            self.handle.deleteTimer((set_for + 1) * self.bucket_ms)
+        self.handle.registerTimer((bucket + 1) * self.bucket_ms)
+        self.first.update((bucket,))
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        bucket = expiredTimerInfo.getExpiryTimeInMs() // self.bucket_ms - 1
-        events = json.loads(self.waiting.getValue((bucket,))[0])
-        self.waiting.removeKey((bucket,))
+        """Takes the buckets that the watermark has passed, one after the other."""
+        first, passed = expiredTimerInfo.getExpiryTimeInMs() // self.bucket_ms - 1, timerValues.getCurrentWatermarkInMs()
+        self.first.clear()
+        waiting = sorted(k[0] for k in self.waiting.keys())
+        due = [b for b in waiting if b <= first or (b + 1) * self.bucket_ms <= passed]
+        if len(due) < len(waiting):
+            self.wake(waiting[len(due)])
         grid, out = Grid(self.cells, self.where, self.box, self.side), []
+        for bucket in due:
+            events = json.loads(self.waiting.getValue((bucket,))[0])
+            self.waiting.removeKey((bucket,))
+            out += self.taken(key[0], grid, events)
+            if len(out) >= AT_ONCE:
+                yield pd.DataFrame(out, columns=["block_id", "seq", "rider_id", "driver_id"])
+                out = []
+        grid.write()
+        yield pd.DataFrame(out, columns=["block_id", "seq", "rider_id", "driver_id"])
+
+    @staticmethod
+    def taken(block: int, grid: Grid, events: list) -> list[tuple]:
+        """The matches of a bucket's events."""
+        out = []
         for _, seq, kind, driver, rider, status, place in sorted(events, key=lambda e: e[:2]):
             if kind == "RIDE_REQUEST":
                 if place is not None:
                     found = grid.nearest(*place)
                     if found is not None:
                         grid.remove(found)
-                    out.append((key[0], seq, rider, found))
+                    out.append((block, seq, rider, found))
             elif driver is None:
                 continue
             elif kind == "LEAVING_BLOCK":
                 grid.remove(driver)
             elif place is not None and (kind != "ENTERING_BLOCK" or status == "AVAILABLE"):
                 grid.put(driver, *place)
-        grid.write()
-        yield pd.DataFrame(out, columns=["block_id", "seq", "rider_id", "driver_id"])
+        return out
 
     def close(self) -> None:
         pass
