@@ -110,6 +110,35 @@ def test_run_is_the_stages(spark, folder, stages):
     assert got == sorted((r["doc_id"], r["ids_sha256"]) for r in stages["byte_bpe"][2] if r["doc_id"] is not None)
 
 
+CLASHING = ["_score", "score", "_own", "_key", "key", "row", "_kept", "_fp", "fp", "_bad", "_dropped", "ids", "decoded", "_decoded", "component_id", "quality", "label", "a.b"]
+
+
+@pytest.mark.parametrize("name", [name for name, _ in corpus_pipeline.STAGES])
+def test_clashing_columns(spark, folder, stages, name):
+    """Other columns, whatever their names, neither change a stage's result nor are changed by it."""
+    stage = dict(corpus_pipeline.STAGES)[name]
+    docs = spark.createDataFrame(stages[name][0], "doc_id long, text string, lang string, source string, n_chars long")
+    more = docs.withColumns({c: F.concat(F.lit(f"{c} of "), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))) for c in CLASHING})
+    got = stage(spark, more, folder)
+    if name != "byte_bpe":
+        assert got.columns == more.columns
+        assert all(r[c] == f"{c} of {'none' if r['doc_id'] is None else r['doc_id']}" for r in got.collect() for c in CLASHING)
+        got = got.select(*COLUMNS)
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, stages[name][2]), key=repr)
+
+
+def test_many_ids_to_drop_are_joined(spark):
+    rows = spark.createDataFrame([(i if i % 7 else None, str(i)) for i in range(40)], "doc_id long, text string")
+    dropped = rows.where("doc_id is null or doc_id % 3 = 0").select("doc_id")
+    few, many = (sorted(r["text"] for r in corpus_pipeline.without(rows, "doc_id", dropped, most).collect()) for most in (100, 2))
+    assert few == many == sorted(str(i) for i in range(40) if i % 7 and i % 3)
+
+
+def test_without_n_chars(spark, folder):
+    docs = spark.createDataFrame([(1, "mail a.b@c.de"), (2, None)], "doc_id long, text string")
+    assert sorted(map(tuple, dict(corpus_pipeline.STAGES)["pii"](spark, docs, folder).collect())) == [(1, "mail [EMAIL]"), (2, None)]
+
+
 def test_empty_documents(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet").limit(0)
     for name, stage in corpus_pipeline.STAGES:
