@@ -267,8 +267,12 @@ def sample(documents: DataFrame, labels: DataFrame, per_label: int) -> tuple[Dat
     return cut(one.select("doc_id", "label", fold.alias("fold"), "least.text"), "toxic-sample"), sizes
 
 
-def counted_units(rows: DataFrame, limit: int) -> list[tuple[str, list[int], list[int]]]:
-    """The units of the sample that tell the labels apart, at most `limit`, with their toxic and clean rows by fold."""
+def counted_units(rows: DataFrame, toxic: list[int], clean: list[int], limit: int) -> list[tuple[str, list[int], list[int]]]:
+    """The units of the sample that tell the labels apart, at most `limit`, with their toxic and clean rows by fold.
+
+    `toxic` and `clean` are the rows of each fold. The bound on the deviation is a little lower than
+    the lexicon's, as a unit may pass that one without a fold.
+    """
 
     @F.arrow_udf("array<string>")
     def of(texts: pa.Array) -> pa.Array:
@@ -277,8 +281,9 @@ def counted_units(rows: DataFrame, limit: int) -> list[tuple[str, list[int], lis
     per_fold = [F.count_if((F.col("label") == label) & (F.col("fold") == k)).alias(f"n_{label}_{k}") for label in (1, 0) for k in range(FOLDS)]
     counts = rows.select("label", "fold", F.explode(of("text")).alias("unit")).groupBy("unit").agg(*per_fold)
     bad, good = (sum((F.col(f"n_{label}_{k}") for k in range(FOLDS)), F.lit(0)) for label in (1, 0))
-    often = counts.where(bad >= LEAST_TOXIC).withColumn("bad", bad).withColumn("good", good)
-    telling = often.orderBy(F.desc(F.col("bad") / (F.col("good") + 1)), F.desc("bad"), "unit").limit(limit)
+    expected = (bad + good) * (sum(toxic) / max(1, sum(toxic) + sum(clean)))
+    often = counts.where(bad >= LEAST_TOXIC).withColumn("deviation", (bad - expected) / F.sqrt(expected))
+    telling = often.where(F.col("deviation") >= 0.8 * LEAST_DEVIATION).orderBy(F.desc("deviation"), "unit").limit(limit)
     return [(r["unit"], [r[f"n_1_{k}"] for k in range(FOLDS)], [r[f"n_0_{k}"] for k in range(FOLDS)]) for r in telling.collect()]
 
 
@@ -287,7 +292,7 @@ def fit(documents: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) ->
     rows, sizes = sample(documents, labels, per_label)
     taken = {(r["label"], r["fold"]): r["count"] for r in rows.groupBy("label", "fold").count().collect()}  # at most 2 * FOLDS
     by_fold = {label: [taken.get((label, k), 0) for k in range(FOLDS)] for label in (0, 1)}
-    counted = counted_units(rows, LEXICON) if min(sum(by_fold[0]), sum(by_fold[1])) else []
+    counted = counted_units(rows, by_fold[1], by_fold[0], LEXICON) if min(sum(by_fold[0]), sum(by_fold[1])) else []
     without = [lexicon_of(counted, by_fold[1], by_fold[0], k) for k in range(FOLDS)]
     shared = rows.sparkSession.sparkContext.broadcast([Values(lexicon) for lexicon in without])
 
