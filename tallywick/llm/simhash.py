@@ -5,11 +5,12 @@ set. Two fingerprints link when they differ in at most `distance` bits.
 
 The index finds every link and looks at few pairs:
 
-* Upper nodes. The 64 bits fall into distance + 1 masks. Linked fingerprints agree on at
-  least one whole mask, so each fingerprint stands below one node per mask, the node of all
-  that share its masked pattern; only fingerprints of one node meet. Nodes are spread over
-  the cluster by (mask, pattern). Equal fingerprints are one entry from the start, so exact
-  copies don't make a node heavy.
+* Upper nodes. The 64 bits fall into distance + e runs. Linked fingerprints agree on at
+  least e whole runs, so each fingerprint stands below one node for each choice of e runs (a mask), the
+  node of all that share its masked pattern; only fingerprints of one node meet. More fingerprints
+  get a greater e, hence longer patterns: nodes hold NODE_CODES or so at any size of the table, if
+  bits are spread evenly. Nodes are spread over the cluster by (mask, pattern). Equal fingerprints
+  are one entry from the start, so exact copies don't make a node heavy.
 * Inside a node the fingerprints are sorted by Gray rank, where neighbours share most bits.
   Runs of FAN form lower nodes, runs of those the next level; each keeps the bits on which
   all below it agree. Two nodes whose shared bits already differ in more than `distance`
@@ -17,6 +18,10 @@ The index finds every link and looks at few pairs:
 * Out of a node come at most as many links as it has fingerprints (each with the least of its
   component there), never all pairs.
 
+Documents get the component of their fingerprint from a table of fingerprints: sent to every task while
+it has at most MAX_SENT rows; beyond that only the fingerprints of over HOT documents are sent, and the
+others, none of which has many documents, are joined.
+
 Defined results: null and blank texts have fingerprint zero, which links like any other; the
 component id is the least doc_id that is not null (null if there is none); repeated rows and
 ids are each returned; an empty table gives an empty result; other columns are not read.
@@ -25,6 +30,7 @@ ids are each returned; an empty table gives an empty result; other columns are n
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -41,6 +47,10 @@ DISTANCE = 4
 SEED = 42
 FAN = 32
 AT_ONCE = 2048  # node pairs that are compared at once
+NODE_CODES = 4096  # fingerprints of an upper node, about
+MOST_RUNS = 4  # that a mask takes
+MAX_SENT = 1_000_000  # rows of 16 bytes
+HOT = 100_000  # documents of one fingerprint
 ROWS_AT_ONCE = 4096  # hashes whose bits are unpacked at once
 
 
@@ -76,10 +86,20 @@ def fingerprints(df: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return df.select("doc_id", fingerprint_column(F.col("text"), shingle).alias("fp"))
 
 
-def masks(distance: int) -> list[int]:
-    """distance + 1 disjoint runs of bits that make up all 64."""
-    ends = [64 * k // (distance + 1) for k in range(distance + 2)]
-    return [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(ends, ends[1:])]
+def masks(distance: int, taken: int = 1) -> list[int]:
+    """All choices of `taken` of distance + taken runs of bits that make up all 64."""
+    runs = distance + taken
+    ends = [64 * k // runs for k in range(runs + 1)]
+    parts = [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(ends, ends[1:])]
+    return [sum(chosen) for chosen in combinations(parts, taken)]
+
+
+def runs_taken(n: int, distance: int, node_codes: int = NODE_CODES) -> int:
+    """How many runs a mask takes, so that n evenly spread fingerprints make nodes of at most `node_codes`."""
+    taken = 1
+    while taken < min(MOST_RUNS, 64 - distance) and n > node_codes * 2 ** (64 * taken // (distance + taken)):
+        taken += 1
+    return taken
 
 
 def gray_rank(codes: np.ndarray) -> np.ndarray:
@@ -167,10 +187,10 @@ def node_links(codes: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray
     return index.codes[hung], index.codes[root[hung]]
 
 
-def links(distinct: DataFrame, distance: int = DISTANCE) -> DataFrame:
+def links(distinct: DataFrame, distance: int = DISTANCE, taken: int = 1) -> DataFrame:
     """(a, b): links between the distinct fingerprints `fp` that join the same components as all links do."""
     patterns = [F.struct(F.lit(k).alias("mask"), F.col("fp").bitwiseAND(F.lit(m - (1 << 64) if m >> 63 else m)).alias("pattern"))
-                for k, m in enumerate(masks(distance))]
+                for k, m in enumerate(masks(distance, taken))]
     below = distinct.select("fp", F.inline(F.array(*patterns))).repartition("mask", "pattern").sortWithinPartitions("mask", "pattern")
 
     def linked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -200,16 +220,24 @@ def links(distinct: DataFrame, distance: int = DISTANCE) -> DataFrame:
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
-                    distance: int = DISTANCE) -> DataFrame:
+                    distance: int = DISTANCE, node_codes: int = NODE_CODES, max_sent: int = MAX_SENT, hot: int = HOT) -> DataFrame:
     """(doc_id, fp, component_id), one row per input row."""
     docs = cut(fingerprints(ids_and_texts(df, id_col, text_col), shingle), "fingerprints")
-    firsts = cut(docs.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
-    roots = components(links(firsts.select("fp"), distance))
+    firsts = cut(docs.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n_docs")), "distinct-fingerprints")
+    n = firsts.count()
+    roots = components(links(firsts.select("fp"), distance, runs_taken(n, distance, node_codes)))
     heads = roots.join(firsts, roots["node"] == firsts["fp"])
     least = heads.groupBy("root").agg(F.min("first").alias("component_id"))
     joined = roots.join(least, "root").select(F.col("node").alias("fp"), "component_id")
-    all_ids = firsts.join(joined, "fp", "left").select("fp", F.coalesce("component_id", "first").alias("component_id"))
-    return docs.join(all_ids, "fp").select("doc_id", "fp", "component_id")
+    of = firsts.join(joined, "fp", "left").select("fp", F.coalesce("component_id", "first").alias("component_id"), "n_docs")
+    wanted = ["doc_id", "fp", "component_id"]
+    if n <= max_sent:
+        return docs.join(F.broadcast(of), "fp").select(*wanted)
+    of = cut(of, "fingerprint-components")
+    heavy, light = of.where(F.col("n_docs") > hot), of.where(F.col("n_docs") <= hot)
+    many = docs.join(F.broadcast(heavy), "fp").select(*wanted)  # at most a row for `hot` documents
+    few = docs.join(F.broadcast(heavy.select("fp")), "fp", "left_anti").join(light, "fp").select(*wanted)
+    return many.unionByName(few)
 
 
 def op3_simhash(documents: DataFrame) -> DataFrame:

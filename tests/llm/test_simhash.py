@@ -1,5 +1,6 @@
 """Fingerprints and components against brute force."""
 
+import math
 import random
 
 import numpy as np
@@ -71,6 +72,40 @@ def test_masks_cover_the_bits():
         assert len(parts) == distance + 1 and sum(parts) == (1 << 64) - 1 and all(parts)
 
 
+@pytest.mark.parametrize("taken", [1, 2, 3, 4])
+def test_linked_codes_share_a_masked_pattern(taken):
+    rng = random.Random(taken)
+    parts = simhash.masks(4, taken)
+    assert len(parts) == math.comb(4 + taken, taken)
+    for _ in range(2000):
+        flips = sum(1 << b for b in rng.sample(range(64), rng.randrange(5)))
+        assert any(not flips & m for m in parts)
+
+
+def test_nodes_stay_small_as_the_table_grows():
+    assert [simhash.runs_taken(n, 4) for n in (0, 10 ** 6, 10 ** 9, 10 ** 11, 10 ** 13)] == [1, 1, 2, 3, 4]
+    assert all(n <= simhash.NODE_CODES * 2 ** (64 * simhash.runs_taken(n, 4) // (4 + simhash.runs_taken(n, 4))) for n in (10 ** 6, 10 ** 9, 10 ** 11, 10 ** 13))
+
+
+@pytest.mark.parametrize("options", [{"node_codes": 0}, {"max_sent": 0, "hot": 3}, {"max_sent": 0, "hot": 10 ** 6}])
+def test_other_sizes_give_the_same(spark, options):
+    """Longer masks, and documents joined with their fingerprint's component, as a far larger table would have them."""
+    rng = random.Random(9)
+    rows = []
+    for i in range(40):
+        base = " ".join(f"w{rng.randrange(40)}" for _ in range(150))
+        rows += [(4 * i, base), (4 * i + 1, base if i % 3 else base + " more"), (4 * i + 2, "same text for all of them here"), (4 * i + 3, base.replace("w1 ", "x "))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, simhash.near_duplicates(frame, **options).collect())) == sorted(map(tuple, simhash.near_duplicates(frame).collect()))
+
+
+def test_a_very_long_text(spark):
+    text = " ".join(f"word{i % 9973}" for i in range(200_000))
+    frame = spark.createDataFrame([(1, text), (2, text + " end"), (3, "short")], "doc_id long, text string")
+    got = {r["doc_id"]: (int(r["fingerprint"], 16), r["component_id"]) for r in simhash.op3_simhash(frame).collect()}
+    assert got == {1: (plain_fingerprint(text), 1), 2: (plain_fingerprint(text + " end"), 1), 3: (plain_fingerprint("short"), 3)}
+
+
 def test_query(spark):
     rng = random.Random(5)
     texts = list(TEXTS)
