@@ -4,14 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tallywick.session import reach_workers as ready  # noqa: F401
+from tallywick.session import reach_workers
 
+BATCH_BYTES = 8 << 20  # of rows that a Python worker gets at once; a larger row comes alone
 # White space of the word rules: space and the five control characters tab to carriage return.
 BLANKS = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
+def ready(spark: SparkSession) -> SparkSession:
+    """Workers find this package, and get texts by their size: a batch is bounded in bytes whatever the rows' length."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return reach_workers(spark)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
