@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tallywick.operators.slices import paged
 from tallywick.session import cut
-from tallywick.sources.tables import write_clustered
+from tallywick.sources.tables import bucket_count, write_clustered
 
 HUB_DEGREE = 100_000  # edges of a source that stay together
 
@@ -54,7 +54,7 @@ def pagerank(edges: DataFrame, users: DataFrame | None = None, iters: int = 10,
     """
     everyone = nodes(edges, users)
     out = cut(edges.groupBy("src").agg(F.count(F.lit(1)).alias("out_degree")), "degrees")
-    links = write_clustered(with_parts(edges, out, hub_degree), "links", ["src", "part"], ["src", "part"], buckets)
+    links = write_clustered(with_parts(edges, out, hub_degree), "links", ["src", "part"], ["src", "part"], buckets or bucket_count(edges))
     first = everyone.join(out.withColumnRenamed("src", "id"), "id", "left")
     ranks = cut(first.select("id", "out_degree", F.lit(1.0).alias("rank")), "ranks")
     for _ in range(iters):

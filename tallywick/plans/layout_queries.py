@@ -104,8 +104,9 @@ def stored_q1(t):
 
 @query("s05_clustered", "S05", views=("lineorder", "ssb_customer"), sql="select c_nation, count(*) n, cast(sum(lo_revenue) as bigint) revenue from lineorder join ssb_customer on lo_custkey = c_custkey group by 1")
 def clustered(t):
-    fact = src.write_clustered(t.lineorder, "lineorder", ["lo_custkey"], ["lo_custkey"])
-    customer = src.write_clustered(t.ssb_customer, "customer", ["c_custkey"], ["c_custkey"], src.n_buckets(fact))
+    buckets = src.bucket_count(t.lineorder)
+    fact = src.write_clustered(t.lineorder, "lineorder", ["lo_custkey"], ["lo_custkey"], buckets)
+    customer = src.write_clustered(t.ssb_customer, "customer", ["c_custkey"], ["c_custkey"], buckets)
     return fact.join(customer, F.col("lo_custkey") == F.col("c_custkey")).groupBy("c_nation").agg(F.count(F.lit(1)).alias("n"), F.sum("lo_revenue").alias("revenue"))
 
 

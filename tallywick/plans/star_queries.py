@@ -9,6 +9,7 @@ from tallywick.plans.registry import query
 
 CITIES = ("NATION_3-1", "NATION_7-1")
 
+# The public star-schema questions in their own SQL.
 Q1_SQL = """
 select cast(sum(lo_extendedprice*lo_discount) as bigint) revenue
 from lineorder join dwdate on lo_orderdate = d_datekey

@@ -113,20 +113,24 @@ def write_partitioned(df: DataFrame, path: str, column: str, order: Sequence[str
     return df.sparkSession.read.parquet(path)
 
 
-def write_clustered(df: DataFrame, label: str, by: Sequence[str], order: Sequence[str], buckets: int | None = None, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+def bucket_count(df: DataFrame, bucket_rows: int = BUCKET_ROWS) -> int:
+    """The power of two that gives each bucket about `bucket_rows` rows, and at least the session's shuffle
+    partitions: below that Spark would rather shuffle both sides of a join.
+    """
+    buckets, least = 1, max(df.count() / bucket_rows, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    while buckets < least:
+        buckets *= 2
+    return buckets
+
+
+def write_clustered(df: DataFrame, label: str, by: Sequence[str], order: Sequence[str], buckets: int, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """A table bucketed by `by` and sorted by `order` within files; tables with the same buckets join on them without a shuffle.
 
-    Without `buckets` their number is the power of two that gives each about `bucket_rows` rows, and
-    at least the session's shuffle partitions: below that Spark would rather shuffle both sides of a join.
-    Pass the number of the larger table to make another one fit it. The rows of a key with more than
-    `bucket_rows` rows are written by several tasks, each a file of the key's bucket; all others of
-    a bucket by one.
+    Take the `bucket_count` of the larger table for all that are joined. The rows of a key with more
+    than `bucket_rows` rows are written by several tasks, each a file of the key's bucket; all
+    others of a bucket by one.
     """
     spark = df.sparkSession
-    if buckets is None:
-        buckets, least = 1, max(df.count() / bucket_rows, int(spark.conf.get("spark.sql.shuffle.partitions")))
-        while buckets < least:
-            buckets *= 2
     path = new_path(spark, label)
     heavy = df.groupBy(*by).agg(F.ceil(F.count(F.lit(1)) / bucket_rows).alias("_files")).where("_files > 1")
     heavy = cut(heavy, "heavy-keys")
@@ -145,13 +149,6 @@ def write_clustered(df: DataFrame, label: str, by: Sequence[str], order: Sequenc
     return spark.table(table)
 
 
-def n_buckets(table: DataFrame) -> int:
-    """The buckets of a table that `write_clustered` gave back."""
-    name = table._jdf.queryExecution().analyzed().collectLeaves().head().catalogTable().get().identifier().table()
-    described = {r["col_name"]: r["data_type"] for r in table.sparkSession.sql(f"describe extended {name}").collect()}
-    return int(described["Num Buckets"])
-
-
 def count_tables(tables: Mapping[str, DataFrame]) -> DataFrame:
     """(table, n)."""
     counts = [df.agg(F.lit(name).alias("table"), F.count(F.lit(1)).alias("n")) for name, df in sorted(tables.items())]

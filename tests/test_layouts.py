@@ -28,15 +28,16 @@ def files_of(table):
 def test_buckets_follow_the_rows(spark):
     frame = spark.range(40_000).select((F.col("id") % 5000).alias("k"), "id")
     for bucket_rows, want in ((10_000, 4), (2_000, 32), (40_000, 4)):
-        stored = src.write_clustered(frame, "sized", ["k"], ["k"], bucket_rows=bucket_rows)
-        assert src.n_buckets(stored) == want and stored.count() == 40_000
+        assert src.bucket_count(frame, bucket_rows) == want
+        stored = src.write_clustered(frame, "sized", ["k"], ["k"], want, bucket_rows)
+        assert stored.count() == 40_000
         assert len({b for b, _ in files_of(stored)}) == len(files_of(stored)) == want  # no key is heavy: a file a bucket
 
 
 def test_heavy_key_lies_in_several_files(spark):
     frame = spark.range(30_000).select(F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id") + 8).alias("k"), "id", F.lit(None).cast("string").alias("v"))
     frame = frame.unionByName(spark.range(3000).select(F.lit(None).cast("long").alias("k"), "id", F.lit("x").alias("v")))
-    stored = src.write_clustered(frame, "heavy", ["k"], ["k"], bucket_rows=2000)
+    stored = src.write_clustered(frame, "heavy", ["k"], ["k"], 16, 2000)
     assert sorted(map(tuple, stored.groupBy("k").count().where("count > 1").collect()), key=repr) == [(7, 15_000), (None, 3000)]
     held = [r["count"] for r in stored.where("k = 7").groupBy(F.input_file_name()).count().collect()]
     assert len(held) > 4 and max(held) < 6000
@@ -46,8 +47,9 @@ def test_heavy_key_lies_in_several_files(spark):
 def test_clustered_join_has_no_exchange(spark, no_broadcast):
     rng = random.Random(1)
     fact = spark.createDataFrame([(rng.randrange(900), i) for i in range(5000)] + [(5, i) for i in range(5000)], "k long, v long")
-    stored = src.write_clustered(fact, "fact", ["k"], ["k"], bucket_rows=1000)
-    other = src.write_clustered(spark.range(900).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w")), "dim", ["k"], ["k"], src.n_buckets(stored))
+    buckets = src.bucket_count(fact, 1000)
+    stored = src.write_clustered(fact, "fact", ["k"], ["k"], buckets, 1000)
+    other = src.write_clustered(spark.range(900).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w")), "dim", ["k"], ["k"], buckets)
     joined = stored.join(other, "k")
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Exchange" not in plan
@@ -81,7 +83,7 @@ def test_ranks_of_a_graph_with_a_hub(spark, no_broadcast):
 def test_rounds_do_not_move_the_edges(spark, no_broadcast):
     edges = spark.range(4000).select((F.col("id") % 700).alias("src"), (F.col("id") * 7 % 900).alias("dst"))
     degree = edges.groupBy("src").agg(F.count(F.lit(1)).alias("out_degree"))
-    links = src.write_clustered(graph.with_parts(edges, degree, 100), "links", ["src", "part"], ["src", "part"])
+    links = src.write_clustered(graph.with_parts(edges, degree, 100), "links", ["src", "part"], ["src", "part"], src.bucket_count(edges))
     shares = spark.range(700).select(F.col("id").alias("src"), (F.col("id") % 1).cast("int").alias("part"), F.lit(1.0).alias("share"))
     plan = links.join(shares, ["src", "part"]).groupBy("dst").agg(F.sum("share"))._jdf.queryExecution().executedPlan().toString()
     scan = next(line for line in plan.splitlines() if "FileScan" in line and "Bucketed: true" in line)
