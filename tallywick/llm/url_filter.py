@@ -9,9 +9,9 @@ join on (host, path), which removes the filter's false positives. The longest en
 
 The filter has a block per KEYS_PER_BLOCK listed URLs. It is broadcast while it has at most
 MAX_BLOCKS blocks (under 64 MB), else joined by block number; both give the same result. Up to
-MAX_SHAPES different pairs of label and path lengths are a constant of the plan; with more, all
-path prefixes are tried, which only adds look-ups. The list itself is left to Spark's join
-choice, which goes by its size.
+MAX_SHAPES different pairs of label and path lengths are broadcast; with more, all path prefixes as
+long as a listed path are tried, which only adds look-ups. The list itself is left to Spark's
+join choice, which goes by its size.
 
 Defined results: a null URL, or one without `://`, has an empty host and path and no rule; of
 equally long entries allow wins, then the lesser text; a null host, path or verdict in the list is skipped;
@@ -32,7 +32,7 @@ RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com"
 DEFAULT = "allow"
 KEYS_PER_BLOCK = 16
 MAX_BLOCKS = 1 << 20
-MAX_SHAPES = 1024
+MAX_SHAPES = 1_000_000
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -68,18 +68,16 @@ def judge(pages: DataFrame, listed: DataFrame, id_col: str = "page_id", url_col:
     listed = listed.select(lower_ascii(F.col("host")).alias("host"), "path", "verdict").where("host is not null and path is not null and verdict is not null")
     n_blocks = max(1, math.ceil(listed.count() / KEYS_PER_BLOCK))
     shape = listed.select(n_labels(F.col("host")).alias("labels"), F.length("path").alias("size")).distinct()
-    shapes = shape.limit(max_shapes + 1).collect()  # bounded by max_shapes
+    few = shape.limit(max_shapes + 1).count() <= max_shapes
+    most, longest = (shape.agg(F.coalesce(F.max(c), F.lit(1))).scalar() for c in ("labels", "size"))
     host, path = host_and_path(F.col(f"`{url_col}`"))
     urls = pages.select(F.monotonically_increasing_id().alias("row"), F.col(f"`{id_col}`").alias("page_id"), host.alias("host"), path.alias("path"))
-    if len(shapes) <= max_shapes:
-        known = F.lit([f"{r['labels']} {r['size']}" for r in sorted(shapes)]) if shapes else F.array().cast("array<string>")
-        known = F.transform(known, lambda x: F.struct(F.split(x, " ")[0].cast("int").alias("labels"), F.split(x, " ")[1].cast("int").alias("size")))
-        tried = urls.withColumn("shape", F.explode_outer(F.filter(known, lambda x: (x["labels"] <= n_labels(F.col("host"))) & (x["size"] <= F.length("path")))))
+    tried = urls.withColumn("n", F.explode(F.sequence(F.lit(1), F.least(n_labels(F.col("host")), most))))
+    if few:
+        tried = tried.join(F.broadcast(shape), (F.col("n") == F.col("labels")) & (F.col("size") <= F.length("path")), "left")
     else:
-        most = shape.agg(F.max("labels")).scalar()
-        tried = urls.withColumn("labels", F.explode(F.sequence(F.lit(1), F.least(n_labels(F.col("host")), most))))
-        tried = tried.withColumn("size", F.explode(F.sequence(F.lit(0), F.length("path")))).withColumn("shape", F.struct("labels", "size"))
-    tried = tried.withColumn("a_host", F.expr("substring_index(host, '.', -shape.labels)")).withColumn("a_path", F.expr("substring(path, 1, shape.size)"))
+        tried = tried.withColumn("size", F.explode(F.sequence(F.lit(0), F.least(F.length("path"), longest))))
+    tried = tried.withColumn("a_host", F.expr("substring_index(host, '.', -n)")).withColumn("a_path", F.expr("substring(path, 1, size)"))
     blocks = bloom(listed, n_blocks)
     looked = tried.withColumn("block", block(F.col("a_host"), F.col("a_path"), n_blocks)).join(
         F.broadcast(blocks) if n_blocks <= max_blocks else blocks, "block", "left")
