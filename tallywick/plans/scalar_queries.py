@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallywick.functions import scalars as fn
-from tallywick.operators import pageviews, tweets
+from tallywick.operators import tweets
 from tallywick.plans.registry import query
 from tallywick.sources import tables as src
 
