@@ -49,7 +49,7 @@ FAN = 32
 AT_ONCE = 2048  # node pairs that are compared at once
 NODE_CODES = 4096  # fingerprints of an upper node, about
 MOST_RUNS = 4  # that a mask takes
-MAX_SENT = 1_000_000  # rows of 16 bytes
+MAX_SENT = 100_000  # rows of 16 bytes
 HOT = 100_000  # documents of one fingerprint
 ROWS_AT_ONCE = 4096  # hashes whose bits are unpacked at once
 
@@ -232,10 +232,10 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     of = firsts.join(joined, "fp", "left").select("fp", F.coalesce("component_id", "first").alias("component_id"), "n_docs")
     wanted = ["doc_id", "fp", "component_id"]
     if n <= max_sent:
-        return docs.join(F.broadcast(of), "fp").select(*wanted)
+        return docs.join(F.broadcast(of.drop("n_docs")), "fp").select(*wanted)
     of = cut(of, "fingerprint-components")
     heavy, light = of.where(F.col("n_docs") > hot), of.where(F.col("n_docs") <= hot)
-    many = docs.join(F.broadcast(heavy), "fp").select(*wanted)  # at most a row for `hot` documents
+    many = docs.join(F.broadcast(heavy.drop("n_docs")), "fp").select(*wanted)  # at most a row for `hot` documents
     few = docs.join(F.broadcast(heavy.select("fp")), "fp", "left_anti").join(light, "fp").select(*wanted)
     return many.unionByName(few)
 
