@@ -42,7 +42,8 @@ MAX_RANK_FILE = 64 * 1024 * 1024  # the ranks go to every executor
 
 
 class Bpe:
-    def __init__(self, rank_file: bytes, pattern: str):
+    def __init__(self, rank_file: bytes, pattern: str, cached: int = CACHED):
+        self.cached = cached
         lines = (line.split() for line in rank_file.splitlines() if line)
         self.ranks = {base64.b64decode(token): int(rank) for token, rank in lines}
         self.token_bytes = [b""] * (max(self.ranks.values(), default=-1) + 1)
@@ -175,7 +176,7 @@ class Bpe:
 
     def learn(self, matches: set[str]) -> None:
         """Encode the matches that are not known yet."""
-        if len(self.known) > CACHED:
+        if len(self.known) > self.cached:
             self.known.clear()
         new = matches.difference(self.known)
         short = []
@@ -225,36 +226,39 @@ def _tables(keys: np.ndarray, values: np.ndarray) -> list[tuple[np.uint64, np.nd
 _LOADED: dict[tuple, Bpe] = {}
 
 
-def loaded(rank_file: bytes, pattern: str) -> Bpe:
+def loaded(rank_file: bytes, pattern: str, cached: int = CACHED) -> Bpe:
     """One encoder for each vocabulary and worker process."""
-    key = (hash(rank_file), len(rank_file), pattern)
+    key = (hash(rank_file), len(rank_file), pattern, cached)
     if key not in _LOADED:
         _LOADED.clear()
-        _LOADED[key] = Bpe(rank_file, pattern)
+        _LOADED[key] = Bpe(rank_file, pattern, cached)
     return _LOADED[key]
 
 
 class ByteBpe:
-    """Encodes and decodes columns by the ranks in a file of the driver, sent to the executors once."""
+    """Encodes and decodes columns by the ranks in a file of the driver, sent to the executors once.
 
-    def __init__(self, spark: SparkSession, rank_path: str, pattern: str):
+    `cached` matches (about 200 bytes each) and `group` characters are what a worker holds at once.
+    """
+
+    def __init__(self, spark: SparkSession, rank_path: str, pattern: str, cached: int = CACHED, group: int = GROUP):
         with open(rank_path, "rb") as file:
             ranks = file.read(MAX_RANK_FILE + 1)
         if len(ranks) > MAX_RANK_FILE:
             raise ValueError(f"{rank_path} is larger than {MAX_RANK_FILE} bytes")
-        self.ranks, self.pattern = spark.sparkContext.broadcast(ranks), pattern
+        self.ranks, self.pattern, self.cached, self.group = spark.sparkContext.broadcast(ranks), pattern, cached, group
 
     def ids(self, text: Column) -> Column:
-        ranks, pattern = self.ranks, self.pattern
+        ranks, pattern, cached, most = self.ranks, self.pattern, self.cached, self.group
 
         @F.arrow_udf("array<int>")
         def encode(texts: pa.Array) -> pa.Array:
-            bpe = loaded(ranks.value, pattern)
+            bpe = loaded(ranks.value, pattern, cached)
             ids, group, size = [], [], 0
             for t in texts:
                 group.append(t.as_py())
                 size += len(group[-1])
-                if size >= GROUP:
+                if size >= most:
                     ids += bpe.ids_of(group)
                     group, size = [], 0
             ids += bpe.ids_of(group)
@@ -264,11 +268,11 @@ class ByteBpe:
         return encode(F.coalesce(text.cast("string"), F.lit("")))
 
     def bytes_of(self, ids: Column) -> Column:
-        ranks, pattern = self.ranks, self.pattern
+        ranks, pattern, cached = self.ranks, self.pattern, self.cached
 
         @F.arrow_udf("binary")
         def decode(lists: pa.Array) -> pa.Array:
-            bpe = loaded(ranks.value, pattern)
+            bpe = loaded(ranks.value, pattern, cached)
             ids, ends = lists.flatten().to_numpy(zero_copy_only=False), np.cumsum([0, *pc.fill_null(pc.list_value_length(lists), 0).to_pylist()])
             return pa.array([bpe.text_bytes(ids[a:b].tolist()) for a, b in zip(ends[:-1], ends[1:])], pa.binary())
 
@@ -281,10 +285,10 @@ class ByteBpe:
         return df.withColumn(into, self.bytes_of(F.col(f"`{ids_col}`")))
 
 
-def production(spark: SparkSession) -> ByteBpe:
+def production(spark: SparkSession, cached: int = CACHED, group: int = GROUP) -> ByteBpe:
     import public_tokenizers
 
-    return ByteBpe(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return ByteBpe(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, cached, group)
 
 
 def op1_byte_bpe(documents: DataFrame) -> DataFrame:
