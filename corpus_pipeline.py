@@ -102,7 +102,7 @@ def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A null text counts as an empty one and has no ids; each of repeated rows has its own; texts are read whole; no documents give none.
     """
     ready(spark)
-    bpe = byte_bpe.production(spark)
+    bpe = byte_bpe.production(spark, cached=200_000, group=500_000)  # less than by itself: the stages share their workers
     coded = bpe.decode(bpe.encode(docs.select("doc_id", "lang", "source", "text"), "text", "ids"), "ids", "decoded")
     return coded.select(
         "doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
