@@ -13,8 +13,9 @@ The index finds every link and looks at few pairs:
   are one entry from the start, so exact copies don't make a node heavy.
 * Inside a node the fingerprints are sorted by Gray rank, where neighbours share most bits.
   Runs of FAN form lower nodes, runs of those the next level; each keeps the bits on which
-  all below it agree. Two nodes whose shared bits already differ in more than `distance`
-  places are dropped with all below them; so are nodes that are already one component.
+  all below it agree, and which of them it adds to its parent's. Going down, a pair of nodes adds the
+  differences among the added bits to those counted above; past `distance` it is dropped with
+  all pairs below it; so are nodes that are already one component.
 * Out of a node come at most as many links as it has fingerprints (each with the least of its
   component there), never all pairs.
 
@@ -123,55 +124,71 @@ def joined_roots(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return root
 
 
+def differing(a: tuple, b: tuple) -> np.ndarray:
+    """Differences between nodes that their parents don't show: places that at least one of the two adds, with unlike values.
+
+    Each is (ones, zeros, added ones, added zeros): the places on which all below it agree, by value, and
+    those of them on which the parent's don't all agree.
+    """
+    return np.bitwise_count((a[2] & b[1]) | (a[3] & b[0]) | (b[2] & a[1]) | (b[3] & a[0]))
+
+
 class GrayIndex:
-    """The tree over the fingerprints of one upper node; `levels[0]` are the leaves' runs."""
+    """The tree over the fingerprints of one upper node; `levels[0]` are the fingerprints, `levels[1]` their runs, and so on."""
 
     def __init__(self, codes: np.ndarray):
         self.codes = codes[np.argsort(gray_rank(codes), kind="stable")]
-        ones, zeros = self.codes, ~self.codes
+        shared = [(self.codes, ~self.codes)]
+        while len(shared[-1][0]) > 1 or len(shared) == 1:
+            starts = np.arange(0, len(shared[-1][0]), FAN)
+            shared.append(tuple(np.bitwise_and.reduceat(x, starts) for x in shared[-1]))
         self.levels = []
-        while len(ones) > 1 or not self.levels:
-            starts = np.arange(0, len(ones), FAN)
-            ones, zeros = np.bitwise_and.reduceat(ones, starts), np.bitwise_and.reduceat(zeros, starts)
-            self.levels.append((ones, zeros))
+        for (ones, zeros), above in zip(shared, [*shared[1:], None]):
+            parent = np.arange(len(ones)) // FAN
+            open_ = ~(above[0] | above[1])[parent] if above else ~np.zeros(len(ones), np.uint64)
+            self.levels.append((ones, zeros, ones & open_, zeros & open_))
 
-    def near(self, level: int, a: np.ndarray, b: np.ndarray, distance: int) -> np.ndarray:
-        """Not pruned: the bits shared below either node differ in at most `distance` places."""
-        ones, zeros = self.levels[level]
-        differ = (ones[a] & zeros[b]) | (zeros[a] & ones[b])
-        return np.bitwise_count(differ) <= distance
+    def nodes(self, level: int, at: np.ndarray) -> tuple:
+        return tuple(x[at] for x in self.levels[level])
 
     def roots(self, distance: int) -> np.ndarray:
-        """For each code, the index of the least code (in Gray order) of its component."""
+        """For each code, the index of the least code (in Gray order) of its component.
+
+        A pair of nodes carries the differences counted above it; what its own shared bits add is added up,
+        and a pair past `distance` is dropped with all pairs below it.
+        """
         n = len(self.codes)
         root = np.arange(n)
         top = len(self.levels) - 1
-        stack = [(top, np.zeros(1, np.int64), np.zeros(1, np.int64))]
+        stack = [(top, np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(1, np.uint8))]
+        step = np.arange(FAN)
         while stack:
-            level, a, b = stack.pop()
+            level, a, b, count = stack.pop()
             if len(a) > AT_ONCE:  # the nearest pairs first: they join most
-                stack.append((level, a[AT_ONCE:], b[AT_ONCE:]))
-                a, b = a[:AT_ONCE], b[:AT_ONCE]
-            below = n if level == 0 else len(self.levels[level - 1][0])
-            if level == 0 and n > FAN:
+                stack.append((level, a[AT_ONCE:], b[AT_ONCE:], count[AT_ONCE:]))
+                a, b, count = a[:AT_ONCE], b[:AT_ONCE], count[:AT_ONCE]
+            below = len(self.levels[level - 1][0])
+            if level == 1 and n > FAN:
                 starts = np.arange(0, n, FAN)
                 low, high = np.minimum.reduceat(root, starts), np.maximum.reduceat(root, starts)
                 open_ = ~((low[a] == high[a]) & (low[b] == high[b]) & (low[a] == low[b]))
-                a, b = a[open_], b[open_]
-            step = np.arange(FAN)
+                a, b, count = a[open_], b[open_], count[open_]
             for at in range(0, len(a), 64):
-                x = np.broadcast_to((a[at:at + 64, None] * FAN + step)[:, :, None], (len(a[at:at + 64]), FAN, FAN)).ravel()
-                y = np.broadcast_to((b[at:at + 64, None] * FAN + step)[:, None, :], (len(b[at:at + 64]), FAN, FAN)).ravel()
-                inside = (x < below) & (y < below) & ((x < y) if level == 0 else (x <= y))
-                x, y = x[inside], y[inside]
-                if level == 0:
-                    linked = np.bitwise_count(self.codes[x] ^ self.codes[y]) <= distance
-                    root = joined_roots(root, x[linked], y[linked])
+                part = slice(at, at + 64)
+                x, y = a[part, None] * FAN + step, b[part, None] * FAN + step
+                left, right = np.minimum(x, below - 1)[:, :, None], np.minimum(y, below - 1)[:, None, :]
+                if level == 1:  # all places of a fingerprint are shared: the sum is what the two differ in
+                    total = np.bitwise_count(self.codes[left] ^ self.codes[right])
+                else:
+                    total = count[part, None, None] + differing(self.nodes(level - 1, left), self.nodes(level - 1, right))
+                kept = (total <= distance) & (x < below)[:, :, None] & (y < below)[:, None, :]
+                pair, i, j = np.nonzero(kept & ((left < right) if level == 1 else (left <= right)))
+                x, y = x[pair, i], y[pair, j]
+                if level == 1:
+                    root = joined_roots(root, x, y)
                 else:
-                    kept = self.near(level - 1, x, y, distance)
-                    x, y = x[kept], y[kept]
                     order = np.argsort(y - x, kind="stable")
-                    stack.append((level - 1, x[order], y[order]))
+                    stack.append((level - 1, x[order], y[order], total[pair, i, j][order]))
         return root
 
 

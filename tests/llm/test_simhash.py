@@ -66,6 +66,20 @@ def test_index_finds_every_link(distance, size):
     assert got.tolist() == want
 
 
+def test_differences_add_up_to_those_of_the_codes():
+    """Down the tree the added differences sum up: at each node to those among its shared bits, at the codes to all."""
+    rng = np.random.default_rng(3)
+    index = simhash.GrayIndex(np.unique(rng.integers(0, 1 << 63, 5000, dtype=np.uint64) & np.uint64(0x00FF00FF00FF0F0F)))
+    for _ in range(200):
+        x, y = rng.integers(0, len(index.codes), 2)
+        total = 0
+        for level in range(len(index.levels) - 1, -1, -1):
+            a, b = (index.nodes(level, np.array([i // simhash.FAN ** level])) for i in (x, y))
+            total += int(simhash.differing(a, b)[0])
+            assert total == int(np.bitwise_count((a[0] & b[1]) | (a[1] & b[0]))[0])
+        assert total == int(np.bitwise_count(index.codes[x] ^ index.codes[y]))
+
+
 def test_masks_cover_the_bits():
     for distance in range(12):
         parts = simhash.masks(distance)
