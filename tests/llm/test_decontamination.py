@@ -76,3 +76,17 @@ def test_native(spark):
     documents, benchmark = spark.createDataFrame([(1, "some text")], "doc_id long, text string"), spark.createDataFrame([(1, "some text")], "item_id long, text string")
     plan = decontamination.op6_decontamination(documents, benchmark)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+@pytest.mark.parametrize("most", [decontamination.MAX_WINDOWS, 1])
+def test_a_very_long_text(spark, most):
+    """Passages at both ends and in the middle of a text of a hundred thousand words."""
+    rng = random.Random(31)
+    word = lambda: "w%d" % rng.randrange(5000)
+    items = [(i, " ".join(word() for _ in range(40))) for i in range(5)] + [(5, "w1 w2")]
+    long = f"{items[0][1]} {' '.join(word() for _ in range(50_000))} {items[1][1].upper()} {' '.join(word() for _ in range(50_000))} {items[2][1]}"
+    docs = [(1, long), (2, items[3][1]), (3, "x" * 1_000_000)]
+    frames = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = decontamination.decontaminate(*frames, max_windows=most)
+    rows = [(r["doc_id"], r["n_words"], r["n_hit"], len(r["items"]), hashlib.sha256(",".join(r["items"]).encode()).hexdigest(), r["contaminated"]) for r in got.collect()]
+    assert sorted(rows) == sorted(plain(docs, items))
