@@ -41,11 +41,12 @@ KEY = ("doc_id", "part", "digest")
 def failures(text: Column) -> dict[str, Column]:
     """The failure conditions that a text decides by itself."""
     tokens = words(text)
-    capitals = F.length(text) - F.length(F.translate(text, UPPER, ""))
+    n_words, n_different, n_chars = (x.cast("long") for x in (F.size(tokens), F.size(F.array_distinct(tokens)), F.length(text)))
+    capitals = n_chars - F.length(F.translate(text, UPPER, ""))
     return {
-        "A": F.size(tokens) < 100,
-        "B": 100 * F.size(F.array_distinct(tokens)) < 80 * F.size(tokens),
-        "C": 100 * capitals > 10 * F.length(text),
+        "A": n_words < 100,
+        "B": 100 * n_different < 80 * n_words,
+        "C": 100 * capitals > 10 * n_chars,
         "D": text.rlike(r"[#$%&*|]"),
     }
 

@@ -113,6 +113,13 @@ def test_sql(spark):
     assert sorted(con.execute(f"select {', '.join(COLUMNS)} from ({ops.SQL})").fetchall()) == plain(docs + ODD, labels)
 
 
+def test_thirty_megabytes_of_capitals(spark):
+    """A hundred times their number is past an integer."""
+    frame = spark.createDataFrame([(1, "en"), (2, "en")], "doc_id long, lang string").withColumn("text", F.repeat(F.lit("ABC DEF "), F.when(F.col("doc_id") == 1, 4_000_000).otherwise(1)))
+    got = ops.judged(frame, "lang").orderBy("doc_id").select("A", "B", "C", "D").collect()
+    assert [tuple(r) for r in got] == [(False, True, True, False), (True, False, True, False)]
+
+
 def test_orders():
     table = ops.orders("ABCDE")
     assert len(table) == 600 and len({o for o, _, _, _ in table}) == 120
