@@ -60,6 +60,27 @@ def test_rare_phrases_are_not_shuffled(spark):
     assert 10 <= ngrams.passing(ngrams.passing(pairs, "first", *filled), "second", *filled).count() <= 30
 
 
+def test_pieces_of_a_text(spark):
+    """A long text is counted in pieces, each phrase in the one it begins in."""
+    texts = corpus(5)
+    frame = spark.createDataFrame([(t,) for t in texts], "text string")
+    for starts in (1, 3, 7):
+        assert {r["phrase"]: r["cnt"] for r in ngrams.ngram_counts(frame, 5, 3, starts=starts).collect()} == plain(texts)
+    long = ngrams.pieces(spark.createDataFrame([("hot " * 5000,), ("",), ("1",)], "text string"), 5)
+    assert sorted(len(r["tokens"]) for r in long.collect()) == [1000] + [1004] * 4
+
+
+def test_places_run_compiled(spark):
+    """No step of a level after the explode is a higher-order function, which Spark would interpret place by place."""
+    plans, cut = [], ngrams.cut
+    ngrams.cut = lambda df, label: (plans.append(df._jdf.queryExecution().optimizedPlan().toString()), cut(df, label))[1]
+    try:
+        ngrams.ngram_counts(spark.createDataFrame([("a b c d e f",)] * 3, "text string")).collect()
+    finally:
+        ngrams.cut = cut
+    assert len(plans) == 6 and not any("lambda" in p for p in plans[1:])
+
+
 def test_empty_words_are_kept_when_asked(spark):
     frame = spark.createDataFrame([(" a b",), ("1a b",), ("2a b",), ("3a b",)], "text string")
     got = {r["phrase"]: r["cnt"] for r in ngrams.ngram_counts(frame, 2, 3, drop_empty=False).collect()}
