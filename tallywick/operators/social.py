@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallywick.operators.slices import paged
+from tallywick.session import cut
 
 NO_NAME, NO_PROFILE = "Unauthorized", "#"
 
@@ -33,15 +34,36 @@ def profiles(requests: DataFrame, info: DataFrame) -> DataFrame:
     return requests.join(known, ["id", "password"], "left").select("id", F.coalesce("name", F.lit(NO_NAME)).alias("name"), F.coalesce("profile", F.lit(NO_PROFILE)).alias("profile"))
 
 
-def timelines(follows: DataFrame, posts: DataFrame, n: int = 30) -> DataFrame:
-    """(id, place, post_id, ts): the latest n posts of those a user follows, the oldest first.
+def sent_posts(follows: DataFrame, posts: DataFrame, n: int) -> DataFrame:
+    """(follower, post_id, ts): posts of those a user follows, among them the latest n.
 
-    Only a followee's own latest n can be among them, so the others go before the join: a
-    follow brings n rows at most, however much its followee has posted.
+    Only a followee's own latest n can be among them, and of the followees only the n with the
+    newest latest posts. A follow first brings its followee's marks alone, the times of its 1st, 2nd, 4th, 8th ... latest
+    post: they tell of a time since which a user has been sent n posts. Posts before that time stay
+    where they are, so a user meets about 2n posts, however many it follows (more only if they are of one time).
     """
-    latest = lambda key: F.row_number().over(Window.partitionBy(key).orderBy(F.desc("ts"), F.desc("post_id")))
-    recent = posts.withColumn("_place", latest("user_id")).where(F.col("_place") <= n).select(F.col("user_id").alias("followee"), "post_id", "ts")
-    seen = follows.join(recent, "followee").withColumn("_place", latest("follower")).where(F.col("_place") <= n)
+    latest = F.row_number().over(Window.partitionBy("user_id").orderBy(F.desc("ts"), F.desc("post_id")))
+    own = posts.where("user_id is not null").withColumn("_place", latest).where(F.col("_place") <= n)
+    recent = cut(own.select(F.col("user_id").alias("followee"), "_place", "post_id", "ts"), "recent-posts")
+    places = [1 << k for k in range(n.bit_length())]
+    at = lambda place, column: F.max(F.when(F.col("_place") == place, F.col(column)))
+    marks = recent.where(F.col("_place").isin(places)).groupBy("followee").agg(at(1, "post_id").alias("_newest"), *[at(p, "ts").alias(f"_at{p}") for p in places])
+    newest = F.row_number().over(Window.partitionBy("follower").orderBy(F.desc("_at1"), F.desc("_newest")))
+    nearest = follows.select("follower", "followee").join(marks, "followee").withColumn("_rank", newest).where(F.col("_rank") <= n)
+    asked = nearest.groupBy("follower").agg(F.collect_list(F.struct("followee", *[f"_at{p}" for p in places])).alias("_asked"))  # at most n
+    posted = lambda e: F.array(*[F.struct(e[f"_at{p}"].alias("ts"), F.lit(p - p // 2).alias("n")) for p in places])
+    known = F.sort_array(F.filter(F.flatten(F.transform("_asked", posted)), lambda m: m["ts"].isNotNull()), asc=False)
+    none = F.struct(F.lit(0).alias("n"), F.lit(None).cast(posts.schema["ts"].dataType).alias("since"))
+    step = lambda seen, m: F.struct((seen["n"] + m["n"]).alias("n"), F.when((seen["n"] < n) & (seen["n"] + m["n"] >= n), m["ts"]).otherwise(seen["since"]).alias("since"))
+    dated = asked.select("follower", F.aggregate(known, none, step)["since"].alias("_since"), "_asked").select("follower", "_since", F.inline("_asked"))
+    wanted = dated.where("_since is null or _at1 >= _since").select("follower", "followee", "_since")
+    return wanted.join(recent.drop("_place"), "followee").where("_since is null or ts >= _since").select("follower", "post_id", "ts")
+
+
+def timelines(follows: DataFrame, posts: DataFrame, n: int = 30) -> DataFrame:
+    """(id, place, post_id, ts): the latest n posts of those a user follows, the oldest first."""
+    latest = F.row_number().over(Window.partitionBy("follower").orderBy(F.desc("ts"), F.desc("post_id")))
+    seen = sent_posts(follows, posts, n).withColumn("_place", latest).where(F.col("_place") <= n)
     oldest = F.row_number().over(Window.partitionBy("follower").orderBy("ts", "post_id"))
     return seen.select(F.col("follower").alias("id"), oldest.alias("place"), "post_id", "ts")
 

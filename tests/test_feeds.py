@@ -88,6 +88,35 @@ def test_ranked_requests(spark):
     assert got == sorted(want) and got
 
 
+def test_timelines_with_ties_and_nulls(spark):
+    """Against a plain sort: equal times, times that are missing, repeated follows and posts, users without posts, a follower that is null."""
+    rng = random.Random(6)
+    posts = [(i, rng.choice([*range(40), None]), rng.choice([None, *range(12)]) if i % 3 else rng.randrange(500)) for i in range(3000)]
+    posts += rng.choices(posts, k=200)
+    follows = [(rng.choice([*range(60), None]), rng.randrange(45)) for _ in range(1500)] + [(99, 3), (98, 77), (5, None)]
+    of = {}
+    for post, user, ts in posts:
+        of.setdefault(user, []).append((ts is None, -(ts or 0), -post))
+    for n in (1, 2, 5, 30):
+        want = {}
+        for follower, followee in follows:
+            if followee is not None:
+                want.setdefault(follower, []).extend(of.get(followee, ()))
+        want = {f: sorted(((None if none else -ts, -post) for none, ts, post in sorted(w)[:n]), key=lambda x: (x[0] is not None, x)) for f, w in want.items() if w}
+        frames = spark.createDataFrame(follows, "follower long, followee long").repartition(3), spark.createDataFrame(posts, "post_id long, user_id long, ts long").repartition(4)
+        got = {}
+        for r in sorted(social.timelines(*frames, n).collect(), key=lambda r: r["place"]):
+            got.setdefault(r["id"], []).append((r["ts"], r["post_id"]))
+        assert got == want
+
+
+def test_a_user_meets_few_posts(spark):
+    """Of 200 followees with 30 posts each about 60 posts are brought, not 6,000."""
+    follows = spark.range(200).select(F.lit(1).cast("long").alias("follower"), F.col("id").alias("followee"))
+    posts = spark.range(200 * 30).select(F.col("id").alias("post_id"), (F.col("id") % 200).alias("user_id"), F.xxhash64("id").alias("ts"))
+    assert 30 <= social.sent_posts(follows, posts, 30).count() <= 75
+
+
 def test_timeline_documents(spark):
     info = spark.createDataFrame([(1, "n1", 'p"1'), (2, "n2", "p2"), (3, "n2", "p0"), (4, None, "p4"), (5, None, None)], "id long, name string, profile string")
     follows = spark.createDataFrame([(2, 1), (3, 1), (4, 1), (9, 1), (1, 2), (2, 9), (1, 3)], "follower long, followee long")
