@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from bisect import bisect_left
 from collections.abc import Iterator
 from math import floor
 
@@ -20,7 +21,8 @@ MATCH = "block_id long, seq long, rider_id string, driver_id string"
 #: What an event can say.
 TYPES = ("DRIVER_LOCATION", "ENTERING_BLOCK", "LEAVING_BLOCK", "RIDE_REQUEST", "RIDE_COMPLETE")
 SIDE = 10  # of the state's grid cells
-BUCKET_MS = 900_000  # events of a block that wait together
+BUCKET_MS = 900_000  # events of a block that are taken together
+PART = 128  # events that wait in one entry of the state
 AT_ONCE = 5000  # matches that are sent on together
 MOST_CELLS = 256  # looked at for a request before all free drivers are
 
@@ -126,9 +128,11 @@ class Grid:
 class Matcher(StatefulProcessor):
     """State of a block: events that wait for their time, and its free drivers in grid cells.
 
-    An event waits, in a bucket of time, until the watermark has passed the bucket; then the bucket's
+    An event waits until the watermark has passed its bucket of time; then the bucket's
     events are taken in order of (ts, seq). The answer doesn't depend on how the stream is cut into
-    micro-batches. A task holds one Arrow batch of events or one bucket of a block at a time.
+    micro-batches. Events wait in parts: those of an Arrow batch in order of time, up to PART in an entry of the state
+    under its first bucket, so sparse events don't cost an entry each. A task holds one Arrow batch of events, or one
+    bucket of a block and the parts that reach past it, at a time.
 
     A position makes a driver free there, whatever was before. Leaving takes the driver out,
     entering puts it in only if it is available, a completed ride puts it in again. A request
@@ -142,7 +146,8 @@ class Matcher(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getMapState("waiting", "bucket long", "events string")
+        self.waiting = handle.getMapState("waiting", "bucket long, part long", "events string")
+        self.parts = handle.getValueState("parts", "n long")
         self.first = handle.getValueState("first", "bucket long")
         self.cells = handle.getMapState("cells", "x int, y int", "drivers string")
         self.where = handle.getMapState("where", "driver_id string", "longitude int, latitude int")
@@ -150,21 +155,31 @@ class Matcher(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         for frame in rows:
-            new: dict[int, list] = {}
+            new = []
             for r in frame[frame["type"].isin(TYPES)].itertuples(index=False):
                 if pd.isna(r.ts):
                     continue
                 text = [x if isinstance(x, str) else None for x in (r.driver_id, r.rider_id, r.status)]
                 place = [int(r.longitude), int(r.latitude)] if pd.notna(r.longitude) and pd.notna(r.latitude) else None
-                new.setdefault(r.ts.value // 1_000_000 // self.bucket_ms, []).append([r.ts.value, int(r.seq), r.type, *text, place])
-            for bucket, events in new.items():
-                if self.waiting.containsKey((bucket,)):
-                    events = json.loads(self.waiting.getValue((bucket,))[0]) + events
-                self.waiting.updateValue((bucket,), (json.dumps(events),))
+                new.append([r.ts.value, int(r.seq), r.type, *text, place])
             if new:
-                self.wake(min(new))
+                new.sort(key=lambda e: e[:2])
+                self.keep(new)
+                self.wake(self.bucket(new[0]))
         yield pd.DataFrame([], columns=["block_id", "seq", "rider_id", "driver_id"])
 
+    def bucket(self, event: list) -> int:
+        return event[0] // 1_000_000 // self.bucket_ms
+
+    def keep(self, events: list) -> None:
+        """Sorted events into new parts."""
+        n = self.parts.get()[0] if self.parts.exists() else 0
+        for at in range(0, len(events), PART):
+            part = events[at:at + PART]
+            self.waiting.updateValue((self.bucket(part[0]), n), (json.dumps(part),))
+            n += 1
+        self.parts.update((n,))
+
     def wake(self, bucket: int) -> None:
         """One timer, at the end of the first bucket that waits."""
         set_for = self.first.get()[0] if self.first.exists() else None
@@ -176,27 +191,38 @@ class Matcher(StatefulProcessor):
         self.first.update((bucket,))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        """Takes the buckets that the watermark has passed, one after the other."""
+        """Takes the buckets that the watermark has passed, in order of time; what waits beside them in their parts waits on."""
         first, passed = expiredTimerInfo.getExpiryTimeInMs() // self.bucket_ms - 1, timerValues.getCurrentWatermarkInMs()
         self.first.clear()
-        waiting = sorted(k[0] for k in self.waiting.keys())
-        due = [b for b in waiting if b <= first or (b + 1) * self.bucket_ms <= passed]
-        if len(due) < len(waiting):
-            self.wake(waiting[len(due)])
+        end = max(first, passed // self.bucket_ms - 1)  # the last bucket that is due
+        keys = sorted(tuple(k) for k in self.waiting.keys())
+        due, held = [k for k in keys if k[0] <= end], []
         grid, out = Grid(self.cells, self.where, self.box, self.side), []
-        for bucket in due:
-            events = json.loads(self.waiting.getValue((bucket,))[0])
-            self.waiting.removeKey((bucket,))
-            out += self.taken(key[0], grid, events)
+        for i, part in enumerate(due):
+            held += json.loads(self.waiting.getValue(part)[0])
+            self.waiting.removeKey(part)
+            # Whole buckets before the next part's first one stand complete.
+            until = min(end + 1, due[i + 1][0]) if i + 1 < len(due) else end + 1
+            if until == part[0]:
+                continue
+            held.sort(key=lambda e: e[:2])
+            ready = bisect_left(held, until, key=self.bucket)
+            out += self.taken(key[0], grid, held[:ready])
+            held = held[ready:]
             if len(out) >= AT_ONCE:
                 yield pd.DataFrame(out, columns=["block_id", "seq", "rider_id", "driver_id"])
                 out = []
+        if held:
+            self.keep(held)
+        later = [k[0] for k in keys if k[0] > end] + [self.bucket(e) for e in held[:1]]
+        if later:
+            self.wake(min(later))
         grid.write()
         yield pd.DataFrame(out, columns=["block_id", "seq", "rider_id", "driver_id"])
 
     @staticmethod
     def taken(block: int, grid: Grid, events: list) -> list[tuple]:
-        """The matches of a bucket's events."""
+        """The matches of sorted or unsorted events of whole buckets."""
         out = []
         for _, seq, kind, driver, rider, status, place in sorted(events, key=lambda e: e[:2]):
             if kind == "RIDE_REQUEST":

@@ -2,7 +2,9 @@
 
 import datetime
 import random
+from types import SimpleNamespace
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -135,6 +137,49 @@ class Held(dict):
         return self["value"]
 
 
+class Handle:
+    """The handle of a processor whose state is in memory; it counts the entries written."""
+
+    def __init__(self):
+        self.timers, self.maps, self.writes = set(), {}, 0
+
+    def getMapState(self, name, *_):
+        self.maps[name] = Held()
+        self.maps[name].updateValue = lambda k, v: (setattr(self, "writes", self.writes + 1), dict.__setitem__(self.maps[name], k, v))
+        return self.maps[name]
+
+    def getValueState(self, *_):
+        return Held()
+
+    def registerTimer(self, ms):
+        self.timers.add(ms)
+
+    def deleteTimer(self, ms):
+        self.timers.discard(ms)
+
+
+@pytest.mark.parametrize("batches,hours", [(1, 24), (1, 1), (5, 1), (40, 1)])
+def test_events_wait_in_parts(batches, hours):
+    """Far-apart events share entries of the state, in any order of coming, and are taken when the watermark has passed them."""
+    rows = [r for r in log(600, 9) if r[2] == 1]
+    random.Random(1).shuffle(rows)
+    handle, matcher, got = Handle(), matching.Matcher(60_000, 10), []
+    matcher.init(handle)
+    columns = ["seq", "ts", "block_id", "driver_id", "rider_id", "type", "status", "longitude", "latitude"]
+    for i in range(batches):
+        list(matcher.handleInputRows((1,), [pd.DataFrame(rows[i::batches], columns=columns)], None))
+    assert handle.writes <= len(rows) // matching.PART + 2 * batches
+    start = int(datetime.datetime(2024, 1, 1, tzinfo=datetime.timezone.utc).timestamp() * 1000)
+    for hour in range(hours, 25, hours):
+        mark = start + hour * 3_600_000
+        while (timers := [t for t in handle.timers if t <= mark]):
+            handle.timers.discard(min(timers))
+            times = SimpleNamespace(getExpiryTimeInMs=lambda: min(timers)), SimpleNamespace(getCurrentWatermarkInMs=lambda: mark)  # noqa: B023
+            for frame in matcher.handleExpiredTimer((1,), times[1], times[0]):
+                got += frame.itertuples(index=False, name=None)
+    assert sorted(got, key=repr) == wanted(rows) and not handle.maps["waiting"]
+
+
 @pytest.mark.parametrize("most", [3, 10_000])
 def test_state_grid_against_a_scan(monkeypatch, most):
     """Drivers few and far apart are found by rings or, past a number of cells, by a look at all."""
