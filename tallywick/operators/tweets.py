@@ -23,8 +23,8 @@ def tokens(text: Column) -> Column:
 
 
 def parts(text: Column) -> Column:
-    """Tokens and what stands between them, in turn; together they are the text."""
-    return F.split(text, "(?<=[a-zA-Z0-9])(?=[^a-zA-Z0-9])|(?<=[^a-zA-Z0-9])(?=[a-zA-Z0-9])")
+    """Tokens and what stands between them, in turn; together they are the text. An empty text has none."""
+    return F.regexp_extract_all(text, F.lit("[a-zA-Z0-9]+|[^a-zA-Z0-9]+"), F.lit(0))
 
 
 def masked(word: Column) -> Column:
@@ -67,10 +67,14 @@ def sentiment(text: Column, lexicon: Mapping[str, int]) -> Column:
 
 
 def sentiment_by_join(df: DataFrame, key: str, text: str, lexicon: DataFrame) -> DataFrame:
-    """(key, score) with a lexicon table (word, score) of any size: tokens are summed by key and word before they are joined."""
-    words = df.select(key, F.explode(F.transform(tokens(F.col(text)), F.lower)).alias("word")).groupBy(key, "word").agg(F.count(F.lit(1)).alias("n"))
-    scored = words.join(lexicon, "word").groupBy(key).agg(F.sum(F.col("n") * F.col("score")).cast("long").alias("score"))
-    return df.select(key).distinct().join(scored, key, "left").select(key, F.coalesce("score", F.lit(0).cast("long")).alias("score"))
+    """(key, score) with a lexicon table (word, score) of any size; rows without a key have 0.
+
+    The tokens meet the lexicon as they come and are summed by key alone, so a task that reads texts
+    holds a sum for each of its keys, never its different words.
+    """
+    words = df.select(key, F.explode_outer(tokens(F.col(text))).alias("word")).select(key, F.lower("word").alias("word"))
+    found = words.join(lexicon.select("word", "score"), "word", "left").groupBy(key).agg(F.sum("score").cast("long").alias("score"))
+    return found.select(key, F.when(F.col(key).isNotNull() & F.col("score").isNotNull(), F.col("score")).otherwise(F.lit(0).cast("long")).alias("score"))
 
 
 def complete(df: DataFrame, required: Sequence[str]) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import json
 import random
+import re
 
 import pytest
 from hypothesis import given, settings, strategies as st
@@ -60,6 +61,24 @@ def test_twenty_thousand_words(spark, big):
     assert {i: s or 0 for i, s in direct.items()} == points
 
 
+def test_parts_are_read_in_one_pass(spark):
+    """The parts are runs, not what a look to both sides of every character cuts; signs beyond the BMP, line ends and empty texts too."""
+    texts = ["", "a", " ", "ab, c\n\nd9", "é\U0001f600x\U0001f600", "\r\n", "A1-b"]
+    frame = spark.createDataFrame([(t,) for t in [*texts, None]], "text string").select("text", tweets.parts(F.col("text")).alias("p"))
+    assert {r["text"]: r["p"] for r in frame.collect()} == {t: plain_parts(t) for t in texts} | {None: None}
+    assert "?<=" not in frame._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_scores_are_summed_by_key_alone(spark):
+    """Repeated and missing keys, texts and words of the list; no aggregate holds the words of a task."""
+    texts = spark.createDataFrame([(1, "a B c a"), (1, "b"), (2, None), (3, ""), (4, "none"), (None, "a a"), (5, "c")], "id long, text string")
+    lexicon = spark.createDataFrame([("a", 2), ("a", 1), ("b", -5), ("c", None), (None, 9)], "word string, score long")
+    got = tweets.sentiment_by_join(texts, "id", "text", lexicon)
+    assert sorted(map(tuple, got.collect()), key=str) == [(1, -4), (2, 0), (3, 0), (4, 0), (5, 0), (None, 0)]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"keys=\[[^]]*word", plan) and plan.count("Generate explode") <= 2  # the plan may be printed twice
+
+
 def test_count_ranges(spark):
     rng = random.Random(4)
     users = {u: rng.randrange(1, 9) for u in rng.sample(range(1000), 300)}
