@@ -136,6 +136,18 @@ def test_a_user_meets_few_posts(spark):
     assert 30 <= social.sent_posts(follows, posts, 30).count() <= 75
 
 
+@pytest.mark.parametrize("name", ["j07_followers", "j07_followers_from_cells"])
+def test_followers_are_dealt_out_before_they_are_counted(spark, name):
+    """No aggregate by id, name and profile stands below the exchange, in the tasks that join or read the cells."""
+    from tallywick.plans.registry import callable_for, load_all
+
+    load_all()
+    plan = callable_for(name)(spark, "/root/testdata/sf0.001")._jdf.queryExecution().sparkPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan
+    top, below = plan.split("REPARTITION_BY_NUM", 1)
+    assert "count(1)" in top and "count(1)" not in below
+
+
 def test_timeline_documents(spark):
     info = spark.createDataFrame([(1, "n1", 'p"1'), (2, "n2", "p2"), (3, "n2", "p0"), (4, None, "p4"), (5, None, None)], "id long, name string, profile string")
     follows = spark.createDataFrame([(2, 1), (3, 1), (4, 1), (9, 1), (1, 2), (2, 9), (1, 3)], "follower long, followee long")
