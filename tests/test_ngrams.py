@@ -3,9 +3,13 @@
 import random
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
-from tallywick.operators import ngrams
+from tallywick.operators import ngrams, phrases
+from tallywick.session import TIDY, cut
 
 
 def plain(texts, n=5, least=3):
@@ -85,3 +89,60 @@ def test_empty_words_are_kept_when_asked(spark):
     frame = spark.createDataFrame([(" a b",), ("1a b",), ("2a b",), ("3a b",)], "text string")
     got = {r["phrase"]: r["cnt"] for r in ngrams.ngram_counts(frame, 2, 3, drop_empty=False).collect()}
     assert got == {"": 3, "a": 4, "b": 4, " a": 3, "a b": 4}
+
+
+def through(texts, n=5, least=3, buckets=16, parts=3):
+    """The counts, as tasks and buckets make them in one process, and the rows that each level sends."""
+
+    class Sent:
+        def __init__(self, keys):
+            self.value, one = np.zeros(64, "u8"), np.uint64(1)
+            for shift in (40, 46, 52):
+                np.bitwise_or.at(self.value, (keys & np.uint64(63)).astype(int), one << ((keys >> np.uint64(shift)) & np.uint64(63)))
+
+    lines = [pa.record_batch([pa.array(texts[k::parts], pa.string())], ["line"]) for k in range(parts)]
+    out, rows, filters = {}, [], []
+    for size in range(n):
+        sent = pa.Table.from_batches([b for line in lines for b in phrases.sent(size, n, filters, 10_000, buckets, least)(iter([line]))])
+        rows.append(sent.num_rows)
+        keys = []
+        for kind, bucket in {*zip(sent["kind"].to_pylist(), sent["bucket"].to_pylist(), strict=True)}:
+            got = phrases.added(least)(sent.filter((pc.field("kind") == kind) & (pc.field("bucket") == bucket)))
+            out |= {p: c for p, c in zip(got["phrase"].to_pylist(), got["cnt"].to_pylist(), strict=True) if p is not None}
+            keys += got["key"].drop_null().to_pylist()
+        filters = [Sent(np.array(keys, "i8").view("u8"))]
+    return out, rows
+
+
+def as_lines(texts):
+    return [" ".join("".join(c if c.isascii() and c.isalpha() else " " for c in t).lower().split()) for t in texts]
+
+
+def test_a_level_sends_rows_by_the_bucket():
+    """Not one for each phrase: hashes and phrases go packed, so a shuffle has some rows a task however many phrases there are."""
+    lines = [x for x in as_lines(corpus(6)) if x]
+    got, rows = through(lines)
+    assert got == plain(lines) and max(rows) <= 3 * 2 * 16 < len(got)
+
+
+def test_phrases_of_one_hash_are_told_apart(monkeypatch):
+    """Hashes choose what is counted; what is counted are the phrases, byte by byte, the long ones too."""
+    lines = [x for x in as_lines(corpus(7)) if x] + ["a" * 300 + " b", "a" * 299 + "c b"] * 3 + ["q" * 40 + x + "q" * 40 for x in "xyz"] * 4
+    monkeypatch.setattr(phrases, "_mixed", lambda x: x * np.uint64(0) + np.uint64(5))
+    assert through(lines)[0] == plain(lines)
+
+
+def test_shuffles_of_a_table_are_dropped_once_it_stands(spark):
+    tracked = lambda: spark.sparkContext._jsc.sc().env().mapOutputTracker().shuffleStatuses().size()
+    before = tracked()
+    stored = cut(spark.range(1000).groupBy((F.col("id") % 10).alias("k")).count(), "tidied")
+    assert stored.count() == 10 and spark.conf.get(TIDY, None) != "true"
+    assert tracked() <= before + 1  # that of count()
+
+
+def test_last_words_of_wide_phrases(spark):
+    frame = spark.createDataFrame([("a  b c",), ("a b  c",), ("a b ",), (" a",), ("a",), ("",), ("é b",), ("  ",)], "phrase string")
+    split = F.split("phrase", " +")
+    new = frame.select(F.struct(*ngrams.split_last(F.col("phrase")))).collect()
+    old = frame.select(F.struct(F.array_join(F.slice(split, 1, F.size(split) - 1), " "), F.element_at(split, -1))).collect()
+    assert [tuple(r[0]) for r in new] == [tuple(r[0]) for r in old]
