@@ -119,9 +119,13 @@ def run_lengths(df: DataFrame, keys: Sequence[str], order: Sequence[str], flags:
 def paged(df: DataFrame, keys: Sequence[str], order: Sequence[str], item: Column, page_size: int) -> DataFrame:
     """The key's items as ordered lists of at most `page_size`: columns keys, page (from 0), items.
 
-    The pages of a key, one after the other, are its whole list; no list grows with the key.
+    The pages of a key, one after the other, are its whole list; no list grows with the key. Items
+    that keys and order tell are made once the rows are numbered, and are not moved with them before.
     """
-    seq = numbered(df.select(*keys, *[o for o in order if o not in keys], item.alias("_item")), keys, order, "_seq")
+    carried = [*keys, *[o for o in order if o not in keys]]
+    late = set(df.columns) <= set(carried)
+    seq = numbered(df.select(*carried, *([] if late else [item.alias("_item")])), keys, order, "_seq")
     page = F.floor((F.col("_seq") - 1) / page_size).cast("long")
-    lists = seq.groupBy(*keys, page.alias("page")).agg(F.array_sort(F.collect_list(F.struct("_seq", "_item"))).alias("_list"))
+    made = item if late else F.col("_item")
+    lists = seq.groupBy(*keys, page.alias("page")).agg(F.array_sort(F.collect_list(F.struct("_seq", made.alias("_item")))).alias("_list"))
     return lists.select(*keys, "page", F.transform("_list", lambda x: x["_item"]).alias("items"))

@@ -56,7 +56,7 @@ def sent_posts(follows: DataFrame, posts: DataFrame, n: int) -> DataFrame:
     none = F.struct(F.lit(0).alias("n"), F.lit(None).cast(posts.schema["ts"].dataType).alias("since"))
     step = lambda seen, m: F.struct((seen["n"] + m["n"]).alias("n"), F.when((seen["n"] < n) & (seen["n"] + m["n"] >= n), m["ts"]).otherwise(seen["since"]).alias("since"))
     dated = asked.select("follower", F.aggregate(known, none, step)["since"].alias("_since"), "_asked").select("follower", "_since", F.inline("_asked"))
-    wanted = dated.where("_since is null or _at1 >= _since").select("follower", "followee", "_since")
+    wanted = cut(dated.where("_since is null or _at1 >= _since").select("follower", "followee", "_since"), "wanted-posts")
     return wanted.join(recent.drop("_place"), "followee").where("_since is null or ts >= _since").select("follower", "post_id", "ts")
 
 
@@ -81,16 +81,18 @@ def timeline_documents(info: DataFrame, follows: DataFrame, posts: DataFrame, n:
     The first page has the user's name, profile, first followers and the latest n posts of those the
     user follows, the oldest first; the others go on with the followers, in order of name and
     profile, `page_size` a page. Followers without a profile are left out; a user without
-    followers or posts has empty lists.
+    followers or posts has empty lists. The follows, the pages and the timelines are stored one after the other, so that
+    the disk holds the shuffles of one of them at a time.
     """
+    follows = cut(follows.select("follower", "followee"), "follows")
     person = F.to_json(F.struct("name", "profile"))
     known = follows.join(info.select(F.col("id").alias("follower"), "name", "profile"), "follower").join(info.select(F.col("id").alias("followee")), "followee", "left_semi")
     named = known.select(F.col("followee").alias("id"), "name", "profile", "follower")
     listed = paged(named, ["id"], ["name", "profile", "follower"], person, page_size)
-    listed = listed.select("id", "page", F.array_join("items", ",").alias("followers"))
+    listed = cut(listed.select("id", "page", F.array_join("items", ",").alias("followers")), "follower-pages")
     recent = timelines(follows, posts, n).join(posts.select("post_id", "post"), "post_id")
     last = recent.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("place", F.to_json(F.struct("post_id", "post")).alias("item")))).alias("items"))  # at most n
-    shown = last.select("id", F.array_join(F.transform("items", lambda x: x["item"]), ",").alias("posts"))
+    shown = cut(last.select("id", F.array_join(F.transform("items", lambda x: x["item"]), ",").alias("posts")), "timelines")
     first = info.select("id", F.lit(0).cast("long").alias("page"), F.to_json(F.struct("name", "profile")).alias("head")).join(shown, "id", "left")
     both = first.join(listed, ["id", "page"], "full")
     people = F.concat(F.lit('"followers":['), F.coalesce("followers", F.lit("")), F.lit("]"))

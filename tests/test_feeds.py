@@ -164,6 +164,24 @@ def test_timeline_documents(spark):
     }
 
 
+def test_steps_of_documents_are_stored_in_turn(spark, monkeypatch):
+    """So the disk holds one step's shuffles at a time: what is returned only joins stored tables, and the follows are made once."""
+    from tallywick.operators import slices
+    from tallywick.session import cut
+
+    stored = []
+    for module in (social, slices):
+        monkeypatch.setattr(module, "cut", lambda df, label: (stored.append((label, df._jdf.queryExecution().optimizedPlan().toString())), cut(df, label))[1])
+    info = spark.range(50).select("id", F.concat(F.lit("n"), "id").alias("name"), F.concat(F.lit("p"), "id").alias("profile"))
+    follows = spark.range(400).select((F.col("id") % 50).alias("follower"), (F.col("id") % 7).alias("followee")).distinct()
+    posts = spark.range(500).select(F.col("id").alias("post_id"), (F.col("id") % 50).alias("user_id"), F.col("id").alias("ts"), F.lit("x").alias("post"))
+    plan = social.timeline_documents(info, follows, posts, 5, 2)._jdf.queryExecution().optimizedPlan().toString()
+    assert not any(step in plan for step in ("Window", "Aggregate", "Generate"))
+    assert [label for label, _ in stored] == ["follows", "slices", "follower-pages", "recent-posts", "wanted-posts", "timelines"]
+    assert not any("Aggregate [follower" in p for label, p in stored if label in ("slices", "recent-posts"))
+    assert "_item" not in dict(stored)["slices"] and "_item" in dict(stored)["follower-pages"]
+
+
 DIVISORS = [7, 25, 10 ** 17, 10 ** 17 - 1, 99 * 10 ** 33 + 1, scalars.DIVISOR]
 
 
